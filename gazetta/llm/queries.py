@@ -31,6 +31,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id"]).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazetta.llm.minhash import near_duplicates
+
+    return near_duplicates(common.table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def tokenizer_file() -> tuple[bytes, str]:
     """The rank file and split pattern of op9 (read by the driver, sent to the workers)."""
     import public_tokenizers
