@@ -31,6 +31,19 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id"]).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazetta.llm.html_extract import extract_text
+
+    return extract_text(common.table(spark, sf_dir, "pages"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazetta.llm.warc import archived
+
+    index = archived(common.table(spark, sf_dir, "pages"), common.fresh_path(spark, "warc"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gazetta.llm.minhash import near_duplicates
 
@@ -62,6 +75,15 @@ _U = "(CAST(('0x' || substr(md5(CAST(coalesce(CAST(doc_id AS VARCHAR), '') AS VA
 
 def oracle_sql() -> dict[str, str]:
     return {
+        # Base32 of a SHA-1: each five hexadecimal digits are four base32 digits.
+        "op7_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT h, min(page_id) AS first_id, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST((CAST('0x' || substr(h, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT) + 1, 1)), '') AS b FROM p GROUP BY h)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, d.b AS payload_digest,
+  CASE WHEN p.page_id = d.first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id = d.first_id THEN NULL ELSE d.first_id END AS refers_to
+FROM p JOIN d ON p.h = d.h""",
         "op2_exact_dedup": f"""
 WITH d AS (SELECT doc_id, {_NORM} AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
