@@ -17,6 +17,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(common.table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazetta.llm import pii
+
+    return pii.digest(pii.find_personal_data(common.table(spark, sf_dir, "documents")))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gazetta.llm.sharding import shard_plan
 
