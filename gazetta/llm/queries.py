@@ -69,6 +69,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(common.table(spark, sf_dir, "documents"), *tokenizer_file())
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazetta.llm.decontam import contaminated
+
+    return contaminated(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
     return dict(sorted(out.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))

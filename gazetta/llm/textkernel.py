@@ -11,6 +11,8 @@ import pyarrow as pa
 SLICE_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: White space and all other ASCII characters that are neither letters nor digits.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _rng = np.random.default_rng(20240229)
@@ -60,11 +62,11 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.
         i = j
 
 
-def words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each word: maximal runs without white space, inside one text."""
+def words(raw: np.ndarray, offs: np.ndarray, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each word: maximal runs without separators, inside one text."""
     if not len(raw):
         return (np.empty(0, np.int64),) * 3
-    space = _SPACE[raw]
+    space = separators[raw]
     opens = np.concatenate(([True], space[:-1]))
     closes = np.concatenate((space[1:], [True]))
     full = offs[1:] > offs[:-1]
