@@ -1,13 +1,48 @@
-"""A corpus pipeline of five stages, each an operator of gazetta.llm."""
+"""A corpus pipeline of five stages, each an operator of gazetta.llm.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before it has kept; all but the last return the
+columns of documents. run() writes each stage's rows to the shared folder and reads them back for the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazetta.llm import common
+from gazetta.llm import bpe, common, decontam, exact_dedup, langid, minhash
+from gazetta.llm.queries import tokenizer_file
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn from the labelled rows outside the held-out quarter; documents without a clear language go."""
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.identify(docs, model).where(langid.accepted()).select(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates (five-word shingles, similarity 0.8) stays."""
+    return minhash.drop_near_duplicates(docs, shingle=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and of the decoded bytes."""
+    return bpe.encode_texts(docs, *tokenizer_file(), keep=("lang", "source", "n_chars"))
+
 
-#: (name, function of (spark, docs, sf_dir)); each stage reads what the one before it has written.
-STAGES: list = []
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("minhash_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("bpe_encoding", encode),
+]
 
 #: Stages 1, 3, 4 and 5 can't be told in SQL; tests/llm hold the pipeline against a brute-force version.
 ORACLE_SQL = None

@@ -245,8 +245,8 @@ def _columns(source, pattern: str, keep_ids: bool):
     return run
 
 
-def encode_texts(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 (and ids) for each row. The rank file (about 1 MB) is broadcast.
+def encode_texts(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns in keep, n_tokens, ids_sha256, decoded_sha256 (and ids) for each row. The rank file (about 1 MB) is broadcast.
 
     The Latin-1 view needs each single byte in the vocabulary; a file without one of them is refused here.
     """
@@ -256,7 +256,7 @@ def encode_texts(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str =
     if missing := [b for b in range(256) if bytes([b]) not in ranks]:
         raise ValueError(f"no token for the bytes {missing[:5]}")
     source = spark.sparkContext.broadcast(rank_file)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * keep_ids
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("_text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_text")
+    schema = f"{kinds}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * keep_ids
     return rows.mapInArrow(_columns(source, pattern, keep_ids), schema)

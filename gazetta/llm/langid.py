@@ -30,7 +30,7 @@ ROWS, DICT_BYTES = 200, 96 << 10
 #: Bytes of a block that is compressed by itself.
 BLOCK = 4096
 #: Smallest margin that is accepted.
-MARGIN = 0.005
+MARGIN = 0.002
 #: Compression levels of short and of other texts: short ones need the thorough search, and there it costs little.
 LEVEL_SHORT, LEVEL, SHORT = 9, 3, 1024
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
