@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-import io
-import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazetta.shipping import ship
+
+__all__ = ["SPACE", "fresh_path", "remove", "saved", "shared_dir", "ship", "table", "text_or_empty"]
+
 #: White space of the text contracts: space and the five control characters.
 SPACE = r"[\x20\x09-\x0D]+"
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once for each application, so that they need no shared disk."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    top = Path(__file__).resolve().parents[1]
-    out = Path(tempfile.mkdtemp(prefix="gazetta-")) / "gazetta_pkg.zip"
-    with zipfile.ZipFile(out, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, p.relative_to(top.parent))
-    spark.sparkContext.addPyFile(str(out))
-    _shipped.add(app)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
