@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from gazetta.llm import common
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gazetta.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(common.table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gazetta.llm.exact_dedup import exact_groups
 
