@@ -39,28 +39,32 @@ STRATEGIES = [
 
 
 def _score(s: Strategy) -> Column:
-    length = reduce(Column.__add__, [F.col(f"_{a}.e") - F.col(f"_{a}.s") + 1 for a in s.areas]).cast("double")
+    length = reduce(Column.__add__, [F.col(f"_{a}_e") - F.col(f"_{a}_s") + 1 for a in s.areas]).cast("double")
     if s.gaps:
         for a, b in zip(s.areas, s.areas[1:], strict=False):
-            length = length - (F.col(f"_{b}.s") - F.col(f"_{a}.e")).cast("double") * F.lit(0.5)
+            length = length - (F.col(f"_{b}_s") - F.col(f"_{a}_e")).cast("double") * F.lit(0.5)
     return length * F.lit(s.factor)
 
 
-def score(gathered: DataFrame, gazetteer: DataFrame, s: Strategy) -> DataFrame:
-    """The RESULT columns of one strategy. gazetteer: distinct rows; matches are distinct already, so are the rows."""
-    first, *rest = s.areas
-    rows = gathered.select("idx", F.explode(first).alias(f"_{first}"), *rest)
-    rows = rows.withColumns({"_code": F.col(f"_{first}.code"), "_name": F.col(f"_{first}.name")}).withColumnsRenamed({r: f"_all_{r}" for r in rest})
-    rows = rows.join(gazetteer, (F.col("_code") == F.col(f"{first}_code")) & (F.col("_name") == F.col(first)))
-    before = first
-    for area in rest:
-        rows = rows.withColumn(f"_{area}", F.explode(_fitting(area, before)))
-        before = area
-    return rows.select("idx", F.col(f"_{first}.addr").alias("addr"), *RESULT[2:-1], _score(s).alias("score"))
+def _unnested(rows: DataFrame, matches: Column, area: str) -> DataFrame:
+    """A row for each match, its fields as columns of their own."""
+    return rows.select("*", F.inline(matches).alias(*(f"_{area}_{f}" for f in ("addr", "code", "name", "s", "e"))))
 
 
 def _fitting(area: str, before: str) -> Column:
-    return F.filter(F.col(f"_all_{area}"), lambda m: (m["code"] == F.col(f"{area}_code")) & (m["name"] == F.col(area)) & (F.col(f"_{before}.e") < m["s"]))
+    """The matches of an area that the gazetteer row names and that come after those before."""
+    return F.filter(F.col(f"_all_{area}"), lambda m: (m["code"] == F.col(f"{area}_code")) & (m["name"] == F.col(area)) & (F.col(f"_{before}_e") < m["s"]))
+
+
+def score(gathered: DataFrame, gazetteer: DataFrame, s: Strategy) -> DataFrame:
+    """The RESULT columns of one strategy. gazetteer: distinct rows; matches are distinct already, so are the rows."""
+    first, *rest = s.areas
+    rows = gathered.select("idx", *(F.col(a).alias(f"_all_{a}") for a in s.areas))
+    rows = _unnested(rows, F.col(f"_all_{first}"), first)
+    rows = rows.join(gazetteer, (F.col(f"_{first}_code") == F.col(f"{first}_code")) & (F.col(f"_{first}_name") == F.col(first)))
+    for before, area in zip(s.areas, rest, strict=False):
+        rows = _unnested(rows, _fitting(area, before), area)
+    return rows.select("idx", F.col(f"_{first}_addr").alias("addr"), *RESULT[2:-1], _score(s).alias("score"))
 
 
 def first_wards(gazetteer: DataFrame, kind: str) -> DataFrame:
