@@ -63,6 +63,9 @@ def sequences(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def edit_distance(item: list[int], text: list[int], most: int) -> tuple[int, int, int] | None:
     """(distance, start, end) of the passage of text nearest to item, if within `most`; earliest among equals."""
+    there = set(text)
+    if sum(a not in there for a in item) > most:  # each of these words costs an edit
+        return None
     row = [(0, j) for j in range(len(text) + 1)]
     for i, a in enumerate(item, 1):
         now = [(i, 0)]
