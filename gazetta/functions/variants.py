@@ -19,7 +19,8 @@ LEVEL_PREFIXES = {
 # Names with a further name of their own.
 ALSO_NAMED = {"bac tu liem": ["tu liem", "tl"], "nam tu liem": ["tu liem", "tl"]}
 
-_NONE = F.array().cast("array<string>")
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
 def name_variants(name: Column, shorten: bool) -> Column:
@@ -31,18 +32,18 @@ def name_variants(name: Column, shorten: bool) -> Column:
     two = F.array(cat(a, b), cat(a, sp, b))
     three = F.array(cat(a, sp, b, sp, c))
     if shorten:
-        longer = F.when(F.length(a) > 2, F.array(cat(a2, dot, b), cat(a2, sp, b))).otherwise(_NONE)
+        longer = F.when(F.length(a) > 2, F.array(cat(a2, dot, b), cat(a2, sp, b))).otherwise(_none())
         two = cat(two, F.array(cat(a1, b1), cat(a1, b), cat(a1, b2), cat(a1, dot, b), cat(a1, dot, b2)), longer)
         three = cat(three, F.array(cat(a1, b1, c1)))
-    also = _NONE
+    also = _none()
     for known, others in ALSO_NAMED.items():
         also = F.when(name == known, F.array(*map(F.lit, others))).otherwise(also)
-    by_words = F.when(F.size(w) == 1, F.array(a)).when(F.size(w) == 2, two).when(F.size(w) == 3, three).otherwise(_NONE)
+    by_words = F.when(F.size(w) == 1, F.array(a)).when(F.size(w) == 2, two).when(F.size(w) == 3, three).otherwise(_none())
     return F.array_distinct(cat(F.array(name), by_words, also))
 
 
 def level_prefixes(level: Column) -> Column:
-    out = _NONE
+    out = _none()
     for known, prefixes in LEVEL_PREFIXES.items():
         out = F.when(level == known, F.array(*map(F.lit, prefixes))).otherwise(out)
     return out

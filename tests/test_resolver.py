@@ -37,8 +37,8 @@ def gazetteer(spark):
 )
 def test_variant_counts(spark, name, level, shorten, names, total):
     df = spark.createDataFrame([(name, level)], "n string, l string")
-    row = df.select(F.size(name_variants(F.col("n"), shorten)).alias("n"), F.size(area_variants(F.col("n"), F.col("l"), shorten)).alias("t")).first()
-    assert (row.n, row.t) == (names, total)
+    row = df.select(F.size(name_variants(F.col("n"), shorten)).alias("names"), F.size(area_variants(F.col("n"), F.col("l"), shorten)).alias("total")).first()
+    assert (row.names, row.total) == (names, total)
 
 
 def test_scores_of_the_golden_address(spark, gazetteer):
