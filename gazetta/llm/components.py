@@ -33,7 +33,7 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component for each node of edges (a, b: long) that isn't the smallest of its component."""
+    """node, component for each node of edges (a, b: of one orderable type) that isn't the smallest of its component."""
     spark = edges.sparkSession
 
     def state(e: DataFrame) -> tuple:

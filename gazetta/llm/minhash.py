@@ -1,25 +1,29 @@
 """Near-duplicate detection: universal hash minima, banding, verification on full sets, connected components.
 
 1. Each document's set of word shingles gives HASHES minima under universal hash functions (a*h + b mod 2**32) and BANDS
-   band keys. Documents of equal sets are one *class*, told by its smallest doc_id; only classes go on.
-2. Classes that share a band key are candidates. First each is paired with the smallest class of its bucket and the pair
-   is verified on the full sets, read again from the texts; the verified links give components. A bucket of thousands of
-   near copies thereby costs one pair for each of them.
-3. Buckets that still hold several components get all pairs across components: small ones by a join on the key, large
-   ones in blocks of BLOCK members, where signatures rule out what cannot be similar before a pair is made. Verified
+   band keys. Equal sets are one *class*, told by a 128-bit digest of the set; from here on only classes count, so exact
+   copies meet nowhere. A bucket is the classes that share a band key.
+2. In each bucket all members are paired with one of them, its head; pairs are verified by signature and then on the full
+   sets, read again from the texts; verified links give components. This is repeated with other heads, and only for
+   members of other components than the head's, as long as it pays: thousands of near copies cost a few pairs each.
+3. In buckets that still hold several components, the members outside the largest are paired with all members of other
+   components: in small buckets by a join on the key, in large ones in blocks of BLOCK members, where signatures rule
+   out what cannot be similar before a pair is made. Verified
    links join the components. No bucket, partner or candidate is capped.
 4. Membership of classes and documents is joined back.
 
-With similarity 0.8, 240 minima in 40 bands of 6 miss a pair of exactly that similarity with probability 5e-6. In the
-blocks, a pair below 0.6 by its 240 minima is ruled out; for a similarity of 0.8 that is 7.7 standard deviations.
+With similarity 0.8, 240 minima in 40 bands of 6 miss a pair of exactly that similarity with probability 5e-6. A pair
+whose 240 minima agree in less than the similarity minus 0.12 is ruled out (2e-6 at 0.8, 4.6 standard deviations).
 
 Edge cases: documents without words or text have an empty set and are alone; fewer words than a shingle count as one
-shingle; equal rows are linked; rows of one doc_id are one node; a null doc_id is alone, with a null component; an empty
+shingle; equal rows are linked; rows of one doc_id are told apart by their sets; a null doc_id counts as larger than
+all others, so its component is null only where all ids in it are; an empty
 table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,10 @@ BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Members of a bucket up to which its pairs are made by a join, and members of a block beyond it.
 SMALL, BLOCK = 64, 512
+#: Rounds of heads at most; a round that leaves more than this share of the pairs across components ends them.
+ROUNDS, LEFT = 8, 0.9
+#: How far a signature's agreement may stay below the similarity.
+SLACK = 0.12
 _rng = np.random.default_rng(8)
 _A = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -66,9 +74,11 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return mix((sig.reshape(BANDS, ROWS).astype(np.uint64) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def _sign(k: int):
-    import hashlib
+def set_key(s: bytes) -> bytes:
+    return hashlib.blake2b(s, digest_size=16).digest()
+
 
+def _sign(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, key, bands, sigs = [], [], [], []
@@ -76,7 +86,7 @@ def _sign(k: int):
                 n.append(len(s))
                 if len(s):
                     sig = signature(s)
-                    key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    key.append(set_key(s.tobytes()))
                     bands.append(band_keys(sig))
                     sigs.append(sig.astype(np.uint16).tobytes())
                 else:
@@ -89,10 +99,38 @@ def _sign(k: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for their way through the shuffle."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([pack((x.as_py() or "").encode()) for x in b.column("_text")], pa.binary())], ["key", "z"])
+
+
 def _sets(k: int):
+    """The sets of packed texts, of those that are their class's (rows may share a doc_id and differ)."""
+    import zstandard
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            texts = pa.array([unpack(x.as_py()).decode() for x in b.column("z")], pa.string())
+            sets = [s.tobytes() for s in shingle_sets(texts, k)]
+            out = pa.RecordBatch.from_arrays([b.column("key"), pa.array(sets, pa.binary())], ["id", "s"])
+            yield out.filter(pa.array([set_key(s) == x.as_py() for s, x in zip(sets, b.column("key"), strict=True)], pa.bool_()))
+
+    return run
+
+
+def _agree(percent: int):
+    """Pairs whose signatures allow the similarity."""
+    least = HASHES * (percent / 100 - SLACK)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(b.column("_text"), k)], pa.binary())], ["id", "s"])
+            x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), np.uint16).reshape(-1, HASHES) for c in ("ga", "gb"))
+            yield b.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least, pa.bool_()))
 
     return run
 
@@ -111,84 +149,146 @@ def _similar(percent: int):
 
 
 def _across(percent: int):
-    """Pairs of a block pair whose components differ and whose sizes and signatures allow the similarity."""
-    least = HASHES * (percent / 100 - 0.2)
+    """Pairs of the members to be placed with a block of their bucket, of other components, that sizes and signatures allow."""
+    least = HASHES * (percent / 100 - SLACK)
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        ids, comp, size = (group.column(c).to_numpy() for c in ("id", "comp", "n"))
-        block = group.column("block").to_numpy()
+        ids, size = group.column("id").to_pylist(), group.column("n").to_numpy()
+        _, comp = np.unique(np.array(group.column("comp").to_pylist(), "S16"), return_inverse=True)
         sig = np.frombuffer(b"".join(x.as_py() for x in group.column("sig")), np.uint16).reshape(-1, HASHES)
-        i, j = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
-        for x in left:
-            y = right[right > x] if i == j else right
-            y = y[(comp[y] != comp[x]) & (100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x]))]
-            y = y[(sig[y] == sig[x]).sum(axis=1) >= least]
-            a.append(np.full(len(y), ids[x])), b.append(ids[y])
-        a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (a, b))
-        return pa.table({"a": pa.array(np.maximum(a, b), pa.int64()), "b": pa.array(np.minimum(a, b), pa.int64())})
+        asks = group.column("asks").to_numpy(zero_copy_only=False)
+        there, a, b = np.flatnonzero(~asks), [], []
+        for x in np.flatnonzero(asks):
+            y = there[(comp[there] != comp[x]) & (100 * np.minimum(size[there], size[x]) >= percent * np.maximum(size[there], size[x]))]
+            for z in y[(sig[y] == sig[x]).sum(axis=1) >= least]:
+                a.append(max(ids[x], ids[z])), b.append(min(ids[x], ids[z]))
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
 class Finder:
-    """The steps over one table of documents."""
+    """The steps over one table of documents. Joins on keys are merge joins at every size: one plan, no switches."""
 
     def __init__(self, docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
         self.spark, self.k, self.percent = docs.sparkSession, shingle, percent
         common.ship(self.spark)
-        self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
-        self.signed, _ = common.saved(self.docs.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary"), "signatures")
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) of class ids, those that are similar by their full sets."""
-        pairs, _ = common.saved(pairs.distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("_w")).union(pairs.select("b")).distinct()
-        texts = self.docs.join(wanted, F.col("doc_id") == F.col("_w"), "left_semi")
-        # Rows that share a doc_id are one node, with the shingles of the first class of that id only as its set.
-        sets = texts.dropDuplicates(["doc_id"]).mapInArrow(_sets(self.k), "id long, s binary")
-        sets, _ = common.saved(sets, "sets")
-        both = pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-        return common.saved(both.mapInArrow(_similar(self.percent), "a long, b long"), "links")[0]
+        self.fits = f"100 * least(n, hn) >= {percent} * greatest(n, hn)"
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+        self.signed, _ = common.saved(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary"), "signatures")
+        self.rows = rows
+
+    def prepare(self, members: DataFrame) -> None:
+        """Signatures of the classes that share a bucket with another one."""
+        wanted = members.select(F.col("id").alias("_w")).distinct()
+        sigs = self.signed.select(F.col("set_key").alias("id"), "sig").join(wanted.hint("merge"), F.col("id") == F.col("_w"), "left_semi")
+        self.sigs, _ = common.saved(sigs.groupBy("id").agg(F.first("sig").alias("sig")), "sigs")
+        self.sets: list[DataFrame] = []
+
+    def with_both(self, pairs: DataFrame, values: DataFrame, value: str, short: str) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(values.select(F.col("id").alias(side), F.col(value).alias(short + side)).hint("merge"), side)
+        return pairs
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b) of classes, those whose signatures allow the similarity."""
+        return self.with_both(pairs.distinct(), self.sigs, "sig", "g").mapInArrow(_agree(self.percent), "a binary, b binary")
+
+    def verified(self, close: DataFrame) -> DataFrame:
+        """Of pairs (a, b) of classes, those that are similar by their full sets."""
+        close, _ = common.saved(close, "pairs")
+        wanted = close.select(F.col("a").alias("_w")).union(close.select("b")).distinct()
+        for known in self.sets:
+            wanted = wanted.join(known.select("id").hint("merge"), F.col("_w") == F.col("id"), "left_anti")
+        wanted, _ = common.saved(wanted, "wanted")
+        if wanted.count():
+            # One document of each wanted class.
+            first = self.signed.select("doc_id", "set_key").join(wanted.hint("merge"), F.col("set_key") == F.col("_w"), "left_semi").groupBy("set_key").agg(F.min("doc_id").alias("d"))
+            packed = self.rows.select(F.col("doc_id").alias("key"), "_text").mapInArrow(_packed, "key long, z binary")
+            texts = packed.withColumnRenamed("key", "d").join(first.hint("merge"), "d").select(F.col("set_key").alias("key"), "z")
+            sets = texts.mapInArrow(_sets(self.k), "id binary, s binary")
+            self.sets.append(common.saved(sets, "sets")[0])
+        if not self.sets:
+            return close  # no pair at all
+        every = self.sets[0]
+        for more in self.sets[1:]:
+            every = every.unionByName(more)
+        return common.saved(self.with_both(close, every, "s", "s").mapInArrow(_similar(self.percent), "a binary, b binary"), "links")[0]
+
+    def placed(self, members: DataFrame, linked: DataFrame | None) -> DataFrame:
+        """members with the component of each, in buckets of several components only."""
+        if linked is None:
+            every = members.withColumn("comp", F.col("id"))
+        else:
+            every = members.join(linked.withColumnRenamed("node", "id").hint("merge"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+        mixed = every.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("band")
+        return common.saved(every.join(mixed.hint("merge"), "band"), "mixed")[0]
+
+    def across(self, rest: DataFrame) -> float:
+        """Pairs across components in all buckets."""
+        c = rest.groupBy("band", "comp").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("band").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+        return c.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0.0
+
+    def heads(self, rest: DataFrame, turn: int) -> DataFrame:
+        """band, head, hn, hcomp: a member of the bucket's largest component, another one each turn."""
+        inside = rest.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), "id", "n")).alias("h"))
+        most = inside.groupBy("band").agg(F.max(F.struct("c", F.xxhash64("comp").alias("r"), "comp", "h")).alias("m"))
+        return most.select("band", F.col("m.h.id").alias("head"), F.col("m.h.n").alias("hn"), F.col("m.comp").alias("hcomp"))
+
+    def star(self, rest: DataFrame, turn: int) -> DataFrame:
+        """Pairs of each bucket's head of this turn with the members of other components."""
+        pairs = rest.join(self.heads(rest, turn).hint("merge"), "band").where("comp != hcomp AND " + self.fits)
+        return pairs.select(F.greatest("id", "head").alias("a"), F.least("id", "head").alias("b"))
+
+    def remaining(self, rest: DataFrame) -> DataFrame:
+        """All pairs across components whose signatures allow it: members outside the largest component with all others."""
+        top = self.heads(rest, 0).select("band", "hcomp")
+        sized = rest.groupBy("band").agg(F.count(F.lit(1)).alias("m")).join(top.hint("merge"), "band")
+        marked = rest.join(sized.hint("merge"), "band").withColumn("placed", F.col("comp") == F.col("hcomp"))
+        marked, _ = common.saved(marked, "marked")
+        small = marked.where(F.col("m") <= SMALL)
+        other = small.select("band", F.col("id").alias("b"), F.col("n").alias("hn"), F.col("comp").alias("ocomp"), F.col("placed").alias("oplaced"))
+        both = small.where("NOT placed").join(other.hint("merge"), "band").where("comp != ocomp AND (oplaced OR id > b) AND " + self.fits)
+        pairs = self.close(both.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")))
+        large = marked.where(F.col("m") > SMALL)
+        free = large.groupBy("band").agg(F.sum((~F.col("placed")).cast("long")).alias("k"))
+        large = large.join(free.hint("merge"), "band").join(self.sigs.hint("merge"), "id")
+        columns = ["band", "i", "j", "id", "n", "comp", "sig", "asks"]
+        part = lambda n: F.pmod(F.xxhash64("id", "band"), F.ceil(F.col(n) / BLOCK)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / BLOCK).cast("int") - 1))
+        asking = large.where("NOT placed").withColumns({"i": part("k"), "asks": F.lit(True)}).withColumn("j", every("m")).select(columns)
+        there = large.withColumns({"j": part("m"), "asks": F.lit(False)}).withColumn("i", every("k")).select(columns)
+        return pairs.unionByName(asking.unionByName(there).groupBy("band", "i", "j").applyInArrow(_across(self.percent), "a binary, b binary")).distinct()
+
+    def joined(self, linked: DataFrame | None, more: DataFrame) -> DataFrame:
+        """Components of the links so far and of more links between their members."""
+        if linked is None:
+            return components(more)
+        for side in ("a", "b"):
+            more = more.join(linked.select(F.col("node").alias(side), "component").hint("merge"), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+        return components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b")))
 
     def run(self) -> DataFrame:
-        # Classes: documents of equal sets. Most classes have one document.
-        first = self.signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        classes, _ = common.saved(self.signed.join(first.where("copies > 1").select("set_key", "rep"), "set_key", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "classes")
-        own = classes.where("doc_id = rep AND n_shingles > 0").select("doc_id").distinct()
-        reps = self.signed.where("set_key IS NOT NULL").join(own, "doc_id", "left_semi").dropDuplicates(["doc_id", "set_key"])
-        banded = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-        buckets = banded.groupBy("band").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-        members, _ = common.saved(banded.join(buckets, "band"), "buckets")
-
-        fits = "100 * least(n, hn) >= {p} * greatest(n, hn)".format(p=self.percent)
-        sizes = members.select(F.col("id").alias("head"), F.col("n").alias("hn")).distinct()
-        star = members.where("id != head").select("id", "n", "head").distinct().join(sizes, "head").where(fits).select(F.col("id").alias("a"), F.col("head").alias("b"))
-        linked = components(self.verified(star))
-
-        # What is left: buckets of several components, and in them the pairs across components without the head's.
-        placed = members.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-        mixed = placed.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("band")
-        rest, _ = common.saved(placed.join(mixed, "band").where("m > 2"), "mixed")
-        small = rest.where(F.col("m") <= SMALL).where("id != head").select("band", "id", "n", "comp")
-        other = small.select("band", F.col("id").alias("b"), F.col("n").alias("hn"), F.col("comp").alias("hcomp"))
-        pairs = small.join(other, "band").where("id > b AND comp != hcomp AND " + fits).select(F.col("id").alias("a"), "b")
-        large = rest.where(F.col("m") > SMALL).join(reps.select(F.col("doc_id").alias("id"), "sig"), "id")
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        own_block = F.pmod(F.xxhash64("id"), blocks).cast("int")
-        dealt = large.select("band", "id", "n", "comp", "sig", own_block.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-        dealt = dealt.select("band", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "id", "n", "comp", "sig", "block")
-        pairs = pairs.unionByName(dealt.groupBy("band", "i", "j").applyInArrow(_across(self.percent), "a long, b long"))
-        more = self.verified(pairs)
-
-        def to_component(e: DataFrame, c: str) -> DataFrame:
-            return e.join(linked.select(F.col("node").alias(c), "component"), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")
-
-        links = linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(to_component(to_component(more, "a"), "b").select("a", "b"))
-        final = components(links)
-        out = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        return out.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        banded = self.signed.where("set_key IS NOT NULL").select(F.col("set_key").alias("id"), F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band"))
+        buckets = banded.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("band")
+        members, _ = common.saved(banded.join(buckets.hint("merge"), "band").distinct(), "buckets")
+        self.prepare(members)
+        linked, rest = None, self.placed(members, None)
+        left = self.across(rest)
+        for turn in range(ROUNDS):
+            linked = self.joined(linked, self.verified(self.close(self.star(rest, turn))))
+            rest = self.placed(rest.drop("comp"), linked)
+            was, left = left, self.across(rest)
+            if left <= rest.count() or left > LEFT * was:
+                break
+        if left:
+            linked = self.joined(linked, self.verified(self.remaining(rest)))
+        thin = self.signed.select("doc_id", "n_shingles", "set_key")
+        roots = thin.join(linked.withColumnRenamed("node", "set_key").hint("merge"), "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component", "set_key").alias("root"))
+        roots, _ = common.saved(roots, "roots")
+        first = roots.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+        out = roots.join(first.hint("merge"), "root", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
+        return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
