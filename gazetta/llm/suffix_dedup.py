@@ -40,7 +40,6 @@ BLOCK_BYTES, STRETCH = 3 << 20, 1 << 20
 _NO_ID = np.iinfo(np.int64).max
 _WHERE = np.uint64(24)  # low bits of a window's key: place of the minimiser
 _SYMBOL = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-PRINT = np.dtype([("print", "<u8"), ("twice", "?")])
 PIECE = np.dtype([("hash", "<u8"), ("size", "<u4"), ("id", "<i8"), ("several", "?")])
 RUN = np.dtype([("hash", "<u8"), ("first", "<u4"), ("n", "<u4"), ("id", "<i8")])
 
@@ -103,30 +102,32 @@ def _rows(names: list[str], types: list[pa.DataType], rows: list[tuple]) -> pa.R
 
 
 def _prints(buckets: int):
-    """Fingerprints of a batch's documents, by block and dealt by value: (bucket, block, entries)."""
+    """Fingerprints of a batch's documents, told once a block and dealt by value: (bucket, blocks, entries).
+
+    blocks holds (block, number of entries) in the order of the entries, so a batch makes a row for each bucket.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            blocks, out = b.column("block").to_numpy(), []
-            texts = [(x.as_py() or "").encode() for x in b.column("_text")]
-            for block in np.unique(blocks):
-                doc, _, _, fp, _ = every_piece(*laid_out([texts[i] for i in np.flatnonzero(blocks == block)]))
-                if not len(fp):
-                    continue
-                order = np.lexsort((doc, fp))
-                fp, doc = fp[order], doc[order]
-                first = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))
-                e = np.empty(len(first), PRINT)
-                e["print"] = fp[first]
-                e["twice"] = np.maximum.reduceat(doc, first) != doc[first]
-                bucket = (e["print"] % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                e, bucket = e[order], bucket[order]
-                cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(e)]))
+            block_of = b.column("block").to_numpy()
+            doc, _, _, fp, _ = every_piece(*laid_out([(x.as_py() or "").encode() for x in b.column("_text")]))
+            rows = []
+            if len(fp):
+                block = block_of[doc]
+                order = np.lexsort((doc, fp, block, fp % np.uint64(buckets)))
+                fp, doc, block = fp[order], doc[order], block[order]
+                first = np.flatnonzero(np.concatenate(([True], (fp[1:] != fp[:-1]) | (block[1:] != block[:-1]))))
+                twice = np.maximum.reduceat(doc, first) != doc[first]
+                fp, block = fp[first], block[first].astype(np.int64)
                 # 40 bits of fingerprint and a bit: six bytes are all that travels.
-                packed = ((e["print"] << np.uint64(1)) | e["twice"]).view(np.uint8).reshape(-1, 8)[:, :6]
-                out += [(int(bucket[s]), int(block), packed[s:z].tobytes()) for s, z in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield _rows(["bucket", "block", "e"], [pa.int32(), pa.int32(), pa.binary()], out)
+                packed = ((fp << np.uint64(1)) | twice).view(np.uint8).reshape(-1, 8)[:, :6]
+                bucket = (fp % np.uint64(buckets)).astype(np.int64)
+                cuts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(fp)]))
+                for s, z in zip(cuts[:-1], cuts[1:], strict=True):
+                    opens = np.concatenate(([0], np.flatnonzero(np.diff(block[s:z])) + 1, [z - s]))
+                    told = np.stack((block[s:z][opens[:-1]], np.diff(opens)), axis=1).astype(np.uint32)
+                    rows.append((int(bucket[s]), told.tobytes(), packed[s:z].tobytes()))
+            yield _rows(["bucket", "blocks", "e"], [pa.int32(), pa.binary(), pa.binary()], rows)
 
     return run
 
@@ -134,11 +135,12 @@ def _prints(buckets: int):
 def _shared(group: pa.Table) -> pa.Table:
     """Of a bucket's entries, the fingerprints that two documents have, by block."""
     prints, blocks = [], []
-    for block, e in zip(group.column("block").to_pylist(), group.column("e"), strict=True):
+    for told, e in zip(group.column("blocks"), group.column("e"), strict=True):
         x = np.zeros((len(e.as_buffer()) // 6, 8), np.uint8)
         x[:, :6] = np.frombuffer(e.as_buffer(), np.uint8).reshape(-1, 6)
         prints.append(x.view(np.uint64)[:, 0])
-        blocks.append(np.full(len(x), block, np.int32))
+        of = np.frombuffer(told.as_buffer(), np.uint32).reshape(-1, 2)
+        blocks.append(np.repeat(of[:, 0].astype(np.int32), of[:, 1]))
     p, block = np.concatenate(prints), np.concatenate(blocks)
     order = np.argsort(p >> np.uint64(1), kind="stable")
     p, block = p[order], block[order]
@@ -331,7 +333,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("_text")), F.lit(blocks)).cast("int"))
-    prints = rows.mapInArrow(_prints(blocks), "bucket int, block int, e binary")
+    prints = rows.mapInArrow(_prints(blocks), "bucket int, blocks binary, e binary")
     shared, _ = common.saved(prints.groupBy("bucket").applyInArrow(_shared, "block int, prints binary"), "shared")
     packed = rows.mapInArrow(_packed, "block int, ids array<long>, sizes array<long>, z binary")
     found = packed.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_candidates(blocks), "shard int, block int, pieces binary, z binary")
