@@ -3,10 +3,10 @@
 Base spans are e-mail addresses, IP addresses, card and phone numbers found by patterns. Their values are the protected
 entities. A term (a word of letters and digits) near an entity discloses it as far as seeing the term tells the entity:
 from the corpus, PMI(e; t) = log2(n(e,t) N / (n(e) n(t))), measured against the entity's information content
-IC(e) = log2(N / n(e)); N counts documents, n(e), n(t) those with the entity or the term, n(e,t) those with the term
-within WINDOW characters of the entity. Terms with PMI >= DISCLOSURE * IC that were seen in two different contexts at
-least (so that copies of one document prove nothing) are generalised, from REMOVAL * IC on removed. Only terms near an
-entity change, so documents without personal data stay as they are; base spans always stay.
+IC(e) = log2(N / n(e)); N counts distinct texts (copies count once), n(e), n(t) those with the entity or the term,
+n(e,t) those with the term within WINDOW characters of the entity. Terms with PMI >= DISCLOSURE * IC are generalised,
+from REMOVAL * IC on removed; no support is asked for, as most entities occur once. Only terms near an entity change, so
+documents without personal data stay as they are; base spans always stay.
 
 Positions are code points, from 0, end exclusive. The patterns are rewritten so that Java's matcher, which recurses in
 repeated groups and retries inside runs, takes linear time and no stack on any text; what they match is the same.
@@ -123,7 +123,7 @@ def _terms(context: Column, at: Column, cut_left: Column, cut_right: Column) ->
 
 
 def contexts(text: Column, spans: Column) -> Column:
-    """Array of (entity, context, terms) for the base spans of a text."""
+    """Array of (entity, terms) for the base spans of a text."""
 
     def one(s: Column, i: Column) -> Column:
         left = F.greatest(s["start"] - WINDOW, F.lit(0))
@@ -134,33 +134,38 @@ def contexts(text: Column, spans: Column) -> Column:
         free = let(near, lambda n: F.filter(found, lambda t: ~F.exists(n, lambda b: (t["start"] < b["end"]) & (t["end"] > b["start"]))))
         value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
         same = F.when(s["k"] == 0, F.lower(value)).when(s["k"] == 1, value).otherwise(F.regexp_replace(value, "[^0-9]", ""))
-        return F.struct(F.concat_ws(":", s["k"].cast("string"), same).alias("entity"), F.xxhash64(before, after).alias("context"), free.alias("terms"))
+        return F.struct(F.concat_ws(":", s["k"].cast("string"), same).alias("entity"), free.alias("terms"))
 
     return F.transform(spans, one)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, n_docs: int, disclosure: float = DISCLOSURE) -> DataFrame:
-    """entity, term, share (PMI / IC) of the pairs whose share reaches the threshold. docs: text of every row."""
-    with_term = found.select("row", "entity", "context", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-    # A row counts once for a pair; contexts are told apart by the least and the greatest hash.
-    pairs = with_term.groupBy("entity", "term", "row").agg(F.min("context").alias("lo"), F.max("context").alias("hi")).groupBy("entity", "term")
-    pairs = pairs.agg(F.count(F.lit(1)).alias("n_et"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("entity", "term", "n_et")
-    n_e = found.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
-    n_t = docs.select(F.explode(words).alias("term")).where((F.length("term") >= TERM_CHARS)).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    content = F.log2(F.lit(float(n_docs)) / F.col("n_e"))
-    pmi = F.log2(F.col("n_et") * F.lit(float(n_docs)) / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    return pairs.join(n_e, "entity").join(n_t, "term").where(content > 0).select("entity", "term", (pmi / content).alias("share")).where(F.col("share") >= disclosure)
+def words(text: Column) -> Column:
+    """The distinct words of a text, in lower case."""
+    return F.array_distinct(F.transform(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.lower(w)))
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
+    """entity, term, share (PMI / IC) of the pairs whose share reaches the threshold. docs: key and text of every row."""
+    with_term = found.select("key", "entity", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
+    pairs = with_term.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
+    n_e = found.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # A text's words go through the shuffle that drops copies, not the text.
+    once = docs.select("key", F.concat_ws(" ", words(F.col("text"))).alias("words")).dropDuplicates(["key"])
+    n_t = once.select(F.explode(F.split("words", " ")).alias("term")).where((F.length("term") >= TERM_CHARS)).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    content = F.log2(F.lit(float(n_texts)) / F.col("n_e"))
+    pmi = F.log2(F.col("n_et") * F.lit(float(n_texts)) / (F.col("n_e") * F.greatest("n_t", "n_et")))
+    return pairs.join(n_e, "entity").join(n_t, "term", "left").where(content > 0).select("entity", "term", (pmi / content).alias("share")).where(F.col("share") >= disclosure)
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, keep_text: bool = False) -> DataFrame:
     """doc_id, spans (base), added (start, k, end, share) and, if asked for, text of each row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), common.text_or_empty(text_col).alias("text"))
-    spotted = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", base_spans(F.col("text")).alias("spans"), "text")
+    key = F.unhex(F.sha2("text", 256)).alias("key")
+    spotted = rows.select(F.monotonically_increasing_id().alias("row"), key, "doc_id", base_spans(F.col("text")).alias("spans"), "text")
     # Written once, so that row numbers stay; what stands around a span goes along with it.
     base, _ = common.saved(spotted.withColumn("contexts", contexts(F.col("text"), F.col("spans"))).drop(*["text"] * (not keep_text)), "spans")
-    found = base.where(F.size("spans") > 0).select("row", F.inline("contexts"))
-    flagged = disclosing_terms(rows.select("text"), found, base.count(), disclosure)
+    found = base.where(F.size("spans") > 0).select("row", "key", F.inline("contexts"))
+    flagged = disclosing_terms(rows.select(key, "text"), found, base.select("key").distinct().count(), disclosure)
     each = found.select("row", "entity", F.explode("terms").alias("t")).select("row", "entity", "t.start", "t.end", "t.term")
     added = each.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
     added = added.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(4).alias("k"), "end", "share"))).alias("added"))

@@ -141,6 +141,18 @@ def test_pii_terms_that_disclose(spark):
     assert "zy@" not in texts[1] and "Zygmunt" not in texts[1] and "[email]" in texts[1] and texts[4] == "contact me please"
 
 
+def test_pii_terms_of_an_entity_seen_once(spark):
+    """An entity in one text is judged like others, and copies count once."""
+    rare = [(1, "Contact Zygmunt here: zy@mail.org please")]
+    copied = [(i, "Contact Wanda here: wa@mail.org please") for i in range(2, 8)] + [(8, "Contact about wa@mail.org please")]
+    noise = [(i, f"nothing about it here please contact number{i}") for i in range(10, 60)]
+    df = spark.createDataFrame(rare + copied + noise, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.digest(pii.find_personal_data(df)).collect()}
+    assert got[1] == "term:8:15,email:22:33"
+    # wa@mail.org is in 2 of 53 texts, Wanda in one: PMI = IC. Copies are judged like their first.
+    assert all(got[i] == "term:8:13,email:20:31" for i, _ in copied[:-1]) and got[8] == "email:14:25"
+
+
 def test_sharding(spark, docs, local, nothing):
     got = sharding.shard_plan(docs).collect()
     size = {(i, t): len((t or "").encode()) + 1 for i, t in local}
