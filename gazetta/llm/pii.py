@@ -1,12 +1,13 @@
 """Information-theoretic sanitisation of personal data, by DataFrame functions only.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers found by patterns. Their values are the protected
-entities. A term (a word of letters and digits) near an entity discloses it as far as seeing the term tells the entity:
+entities. A term (a word of letters and digits, with a letter, of any length, outside base spans) in a document with an
+entity discloses it as far as seeing the term tells the entity:
 from the corpus, PMI(e; t) = log2(n(e,t) N / (n(e) n(t))), measured against the entity's information content
 IC(e) = log2(N / n(e)); N counts distinct texts (copies count once), n(e), n(t) those with the entity or the term,
-n(e,t) those with the term within WINDOW characters of the entity. Terms with PMI >= DISCLOSURE * IC are generalised,
-from REMOVAL * IC on removed; no support is asked for, as most entities occur once. Only terms near an entity change, so
-documents without personal data stay as they are; base spans always stay.
+n(e,t) those with both, wherever they stand in it. Terms with PMI >= DISCLOSURE * IC are generalised, from REMOVAL * IC
+on removed, at each place in the document; no support is asked for, as most entities occur once. Documents without
+personal data stay as they are; base spans always stay.
 
 Positions are code points, from 0, end exclusive. The patterns are rewritten so that Java's matcher, which recurses in
 repeated groups and retries inside runs, takes linear time and no stack on any text; what they match is the same.
@@ -25,12 +26,8 @@ from pyspark.sql import functions as F
 from gazetta.llm import common
 
 KINDS = ["email", "ip", "card", "phone", "term"]
-#: Characters on either side of an entity in which terms are looked for.
-WINDOW = 64
 #: Shares of the entity's information content from which a term is generalised and removed.
 DISCLOSURE, REMOVAL = 0.8, 0.95
-#: Shortest term.
-TERM_CHARS = 4
 
 _JOINED = "\x01"  # stands for a separator inside a chain, one code point for one
 _FROM_RUN = r"(?s)\G(.*?)((?:\G|(?<![{0}])){1})"
@@ -39,8 +36,6 @@ IP = _FROM_RUN.format("0-9", r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = r"(?s)\G(.*?)([0-9\x01]{12,}+)"
 PHONE = r"(?s)\G(.*?)(\+[0-9][\x20().0-9-]+[0-9])"
 TERM = r"(?s)\G([^\p{L}\p{N}]*+)([\p{L}\p{N}]++)"
-#: Neighbours of a span, in order of start, that can reach into its window: the shortest base span has 5 characters.
-NEIGHBOURS = 40
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -63,15 +58,15 @@ def located(text: Column, pattern: str) -> Column:
     def spans(sizes: Column, found: Column) -> Column:
         blocks = F.when(F.size(sizes) > 0, F.transform(F.sequence(F.lit(0), F.floor(F.size(sizes) / 128).cast("int")), lambda b: _sum(F.slice(sizes, b * 128 + 1, 128))))
 
-        def at(sums: Column) -> Column:
+        def at(before: Column) -> Column:
             def one(m: Column, i: Column) -> Column:
                 block = F.floor(i / 128).cast("int")
-                end = _sum(F.slice(sums, F.lit(1), block)) + _sum(F.slice(sizes, block * 128 + 1, i % 128 + 1))
+                end = F.get(before, block) + _sum(F.slice(sizes, block * 128 + 1, i % 128 + 1))
                 return F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("m"))
 
             return F.transform(found, one)
 
-        return let(blocks, at)
+        return let(blocks, lambda sums: let(F.transform(sums, lambda x, i: _sum(F.slice(sums, F.lit(1), i))), at))
 
     return let(F.transform(whole, F.length), lambda sizes: let(match, lambda found: spans(sizes, found)))
 
@@ -113,30 +108,34 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*(of_kind(k, *c) for k, c in enumerate(checks))))
 
 
-def _terms(context: Column, at: Column, cut_left: Column, cut_right: Column) -> Column:
-    """Terms of a piece of text that starts at `at`; a term that the piece's edge may cut is left out."""
-    whole = F.filter(
-        located(context, TERM),
-        lambda s: (F.length(s["m"]) >= TERM_CHARS) & s["m"].rlike(r"\p{L}") & ~(cut_left & (s["start"] == 0)) & ~(cut_right & (s["end"] == F.length(context))),
-    )
-    return F.transform(whole, lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"), F.lower(s["m"]).alias("term")))
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with base spans (in order, they may overlap) as spaces, so that positions stay."""
+    kind = "struct<pos:int,out:array<string>>"
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.when(s["start"] > acc["pos"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"])).otherwise(F.lit(""))
+        hole = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], acc["pos"]))
+        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], F.array(gap, hole)).alias("out")).cast(kind)
+
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out")).cast(kind)
+    return F.aggregate(spans, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["pos"] + 1, F.length(text))))
 
 
-def contexts(text: Column, spans: Column) -> Column:
-    """Array of (entity, terms) for the base spans of a text."""
+def entities(text: Column, spans: Column) -> Column:
+    """The distinct entities that the base spans of a text show."""
 
-    def one(s: Column, i: Column) -> Column:
-        left = F.greatest(s["start"] - WINDOW, F.lit(0))
-        before = F.substring(text, left + 1, s["start"] - left)
-        after = F.substring(text, s["end"] + 1, F.lit(WINDOW))
-        found = F.concat(_terms(before, left, left > 0, F.lit(False)), _terms(after, s["end"], F.lit(False), s["end"] + WINDOW < F.length(text)))
-        near = F.slice(spans, F.greatest(i - NEIGHBOURS, F.lit(0)) + 1, F.lit(2 * NEIGHBOURS + 1))
-        free = let(near, lambda n: F.filter(found, lambda t: ~F.exists(n, lambda b: (t["start"] < b["end"]) & (t["end"] > b["start"]))))
+    def one(s: Column) -> Column:
         value = F.substring(text, s["start"] + 1, s["end"] - s["start"])
         same = F.when(s["k"] == 0, F.lower(value)).when(s["k"] == 1, value).otherwise(F.regexp_replace(value, "[^0-9]", ""))
-        return F.struct(F.concat_ws(":", s["k"].cast("string"), same).alias("entity"), free.alias("terms"))
+        return F.concat_ws(":", s["k"].cast("string"), same)
+
+    return F.array_distinct(F.transform(spans, one))
+
 
-    return F.transform(spans, one)
+def terms(text: Column, spans: Column) -> Column:
+    """Array of (start, end, term) for the terms of a text outside its base spans."""
+    found = F.filter(located(blanked(text, spans), TERM), lambda s: s["m"].rlike(r"\p{L}"))
+    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lower(s["m"]).alias("term")))
 
 
 def words(text: Column) -> Column:
@@ -144,33 +143,43 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.transform(F.split(text, r"[^\p{L}\p{N}]+"), lambda w: F.lower(w)))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
-    """entity, term, share (PMI / IC) of the pairs whose share reaches the threshold. docs: key and text of every row."""
-    with_term = found.select("key", "entity", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-    pairs = with_term.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    n_e = found.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+def disclosing_terms(docs: DataFrame, units: DataFrame, n_texts: int, disclosure: float = DISCLOSURE) -> DataFrame:
+    """key, term, share (PMI / IC, the greatest of the text's entities) of the terms whose share reaches the threshold.
+
+    docs: key and text of every row; units: key, entities, terms of each distinct text with entities.
+    """
+    shown = units.select("key", F.explode("entities").alias("entity"))
+    n_e = shown.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") < n_texts)
     # A text's words go through the shuffle that drops copies, not the text.
     once = docs.select("key", F.concat_ws(" ", words(F.col("text"))).alias("words")).dropDuplicates(["key"])
-    n_t = once.select(F.explode(F.split("words", " ")).alias("term")).where((F.length("term") >= TERM_CHARS)).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n_t = once.select(F.explode(F.split("words", " ")).alias("term")).where(F.col("term").rlike(r"\p{L}")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    held = units.select("key", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
+    held = held.join(n_t, "term", "left").withColumn("n_t", F.coalesce("n_t", F.lit(1)))
+    # As n(e,t) <= n(e), the threshold can be reached up to this n(t) only; the margin is for rounding.
+    most = F.pow(F.col("n_e").cast("double"), F.lit(disclosure)) * float(max(n_texts, 1)) ** (1 - disclosure) * (1 + 1e-9)
+    pairs, _ = common.saved(shown.join(n_e, "entity").withColumn("most", most).join(held, "key").where("n_t <= most").drop("most"), "pairs")
+    both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
     content = F.log2(F.lit(float(n_texts)) / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * F.lit(float(n_texts)) / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    return pairs.join(n_e, "entity").join(n_t, "term", "left").where(content > 0).select("entity", "term", (pmi / content).alias("share")).where(F.col("share") >= disclosure)
+    flagged = both.select("entity", "term", (pmi / content).alias("share")).where(F.col("share") >= disclosure)
+    return pairs.select("key", "entity", "term").join(flagged, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, keep_text: bool = False) -> DataFrame:
     """doc_id, spans (base), added (start, k, end, share) and, if asked for, text of each row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), common.text_or_empty(text_col).alias("text"))
     key = F.unhex(F.sha2("text", 256)).alias("key")
-    spotted = rows.select(F.monotonically_increasing_id().alias("row"), key, "doc_id", base_spans(F.col("text")).alias("spans"), "text")
-    # Written once, so that row numbers stay; what stands around a span goes along with it.
-    base, _ = common.saved(spotted.withColumn("contexts", contexts(F.col("text"), F.col("spans"))).drop(*["text"] * (not keep_text)), "spans")
-    found = base.where(F.size("spans") > 0).select("row", "key", F.inline("contexts"))
-    flagged = disclosing_terms(rows.select(key, "text"), found, base.select("key").distinct().count(), disclosure)
-    each = found.select("row", "entity", F.explode("terms").alias("t")).select("row", "entity", "t.start", "t.end", "t.term")
-    added = each.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
-    added = added.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(4).alias("k"), "end", "share"))).alias("added"))
+    spotted = rows.select(key, "doc_id", base_spans(F.col("text")).alias("spans"), "text")
+    some = F.size("spans") > 0
+    shown, held = (F.when(some, f(F.col("text"), F.col("spans"))).alias(f.__name__) for f in (entities, terms))
+    base, _ = common.saved(spotted.select("key", "doc_id", "spans", shown, held, *["text"] * keep_text), "spans")
+    units, _ = common.saved(base.where(some).select("key", "entities", "terms").dropDuplicates(["key"]), "personal")
+    flagged = disclosing_terms(rows.select(key, "text"), units, base.select("key").distinct().count(), disclosure)
+    added = units.select("key", F.inline("terms")).join(flagged, ["key", "term"])
+    added = added.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(4).alias("k"), "end", "share"))).alias("added"))
     none = F.array().cast("array<struct<start:int,k:int,end:int,share:double>>")
-    return base.join(added, "row", "left").select("doc_id", "spans", F.coalesce("added", none).alias("added"), *["text"] * keep_text)
+    columns = ["doc_id", "spans", F.coalesce("added", none).alias("added"), *["text"] * keep_text]
+    return base.where(some).join(added, "key", "left").select(columns).unionByName(base.where(~some).withColumn("added", none).select(columns))
 
 
 def _told(spans: Column) -> Column:

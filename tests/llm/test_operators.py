@@ -153,6 +153,37 @@ def test_pii_terms_of_an_entity_seen_once(spark):
     assert all(got[i] == "term:8:13,email:20:31" for i, _ in copied[:-1]) and got[8] == "email:14:25"
 
 
+def test_pii_terms_of_the_whole_document(spark):
+    """A name far from the entity, one of two letters, and each of its places."""
+    import math
+    import random
+
+    rng = random.Random(6)
+    fill = " ".join(["please"] * 40)
+    rows = [(1, f"Lee wrote. {fill} Lee: lee.x@mail.org {fill} 李明 Lee")] + [(i, f"please write to number{i}") for i in range(2, 40)]
+    rows += [(i, " ".join(rng.choice(["a", "bo", "Cid", "x@y.zz", "X@Y.zz", "1.2.3.4", "x4111111111111111", "É1", "7"]) for _ in range(rng.choice([3, 9, 300])))) for i in range(100, 140)]
+    spans = {i: [(int(s), int(e)) for x in base_spans(t).split(",") if x for s, e in [x.split(":")[1:]]] for i, t in rows}
+    words = {i: [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", "".join(" " if any(s <= k < e for s, e in spans[i]) else c for k, c in enumerate(t)))] for i, t in rows}
+    texts = {t: i for i, t in rows}
+    shown = {i: {x.split(":")[0] + ":" + t[int(x.split(":")[1]) : int(x.split(":")[2])].lower() for x in base_spans(t).split(",") if x} for t, i in texts.items()}
+    every = {i: {w.lower() for w in re.findall(r"[^\W_]+", t)} for t, i in texts.items()}
+    want = {}
+    for i, t in rows:
+        flagged = []
+        for s, e, w in words[i] if spans[i] else []:
+            n_t = sum(w in x for x in every.values())
+            shares = []
+            for p in shown[texts[t]]:
+                n_e = sum(p in x for x in shown.values())
+                n_et = sum(p in shown[j] and any(w == x[2] for x in words[j]) for j in texts.values())
+                shares.append(math.log2(n_et * len(texts) / (n_e * max(n_t, n_et))) / math.log2(len(texts) / n_e))
+            if re.search(r"[^\W\d_]", w) and max(shares) >= pii.DISCLOSURE:
+                flagged.append(f"term:{s}:{e}")
+        want[i] = flagged
+    got = {r.doc_id: [x for x in r.spans.split(",") if x.startswith("term")] for r in pii.digest(pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got == want and len(got[1]) == 5  # wrote, Lee three times, and two characters
+
+
 def test_sharding(spark, docs, local, nothing):
     got = sharding.shard_plan(docs).collect()
     size = {(i, t): len((t or "").encode()) + 1 for i, t in local}
