@@ -1,11 +1,12 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
 
 Texts are sequences of words (runs of letters and digits, A-Z lower-cased). A passage is a leak of an item of n words if
-its word edit distance is at most EDITS * n (0 for items below SHORT words).
+its word edit distance is at most EDITS * n.
 
-1. Windows. An item of n words within EDITS * n edits keeps at least one of its word trigrams, as 3 * EDITS * n < n - 2
-   for n >= SHORT; so windows of n words are laid wherever a trigram of the item occurs, at the start that its offset in
-   the item implies. This loses nothing and leaves few windows of a text.
+1. Windows. An item of n words within e = int(EDITS * n) edits keeps at least one of its word grams of g words, as each
+   edit breaks g of its n - g + 1 grams at most and g * e < n - g + 1 for g = gram_size(n): three words, two for
+   items of five. So windows of n words are laid wherever a gram of the item occurs, at the start that its
+   offset in the item implies. This loses nothing and leaves few windows of a text.
 2. CGK embedding. WALKS random walks read window and item: at each of 3n steps the walk notes the word under it and
    moves on if a random bit of (step, word) says so. Few edits give a small Hamming distance.
 3. Bit sampling. TABLES keys for each walk, of SAMPLED coordinates each; an item and a window with a key in common are
@@ -15,7 +16,7 @@ its word edit distance is at most EDITS * n (0 for items below SHORT words).
 Items are sent to the workers in blocks of BLOCK_ITEMS, one pass over the documents for each, so what is broadcast is
 bounded. Documents stay where they are: no shuffle.
 
-Edge cases: null and empty texts and items never match; items of one or two words are matched as a whole; repeated
+Edge cases: null and empty texts and items never match; items below five words are matched as a whole; repeated
 items and rows match each for itself; a document's hits on one item are told once, by its best passage; an empty table
 gives no rows; other columns are not looked at.
 """
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from gazetta.llm import common
 from gazetta.llm.textkernel import PUNCTUATION, mix, slices, word_hashes, words
 
-EDITS, SHORT, GRAM = 0.2, 8, 3
+EDITS, GRAM = 0.2, 3
 WALKS, SAMPLED, RECALL, FAR = 8, 3, 0.999, 0.5
 TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - FAR) ** SAMPLED) / WALKS)
 BLOCK_ITEMS = 20_000
@@ -44,7 +45,12 @@ _GRAM_MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def allowed(n: int) -> int:
-    return int(EDITS * n) if n >= SHORT else 0
+    return int(EDITS * n)
+
+
+def gram_size(n: int) -> int:
+    """The longest grams, GRAM words at most, of which an item of n words within allowed(n) edits keeps one."""
+    return max(g for g in range(1, min(GRAM, n) + 1) if g * allowed(n) < n - g + 1)
 
 
 def grams(w: np.ndarray, g: int) -> np.ndarray:
@@ -127,7 +133,7 @@ class Matcher:
         for i, w in enumerate(self.items):
             if len(w):
                 by_size.setdefault(len(w), []).append(i)
-                h = grams(w, min(GRAM, len(w)))
+                h = grams(w, gram_size(len(w)))
                 hashes.append(h), items.append(np.full(len(h), i)), offsets.append(np.arange(len(h)))
         self.gram = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.item = np.concatenate(items) if items else np.empty(0, np.int64)
@@ -136,7 +142,7 @@ class Matcher:
         self.gram, self.item, self.offset = self.gram[order], self.item[order], self.offset[order]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(self.gram & np.uint64(self.maybe.size - 1)).astype(np.int64)] = True
-        self.sizes = sorted({min(GRAM, n) for n in by_size})
+        self.sizes = sorted({gram_size(n) for n in by_size})
         self.length = np.array([len(w) for w in self.items], np.int64)
         self.tables = {n: (np.array(members), keys(np.stack([self.items[i] for i in members]))) for n, members in by_size.items()}
 

@@ -382,6 +382,26 @@ def test_decontamination(spark, docs, nothing):
     assert decontam.contaminated(nothing, bench).count() == 0 and decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    """Each single edit of items of five to seven words, which 20 % allow; two edits, and one of four words, are too many."""
+    items = [(n, " ".join(f"item{n}w{k}" for k in range(n))) for n in range(4, 8)]
+    near, far = [], []
+    for n, t in items:
+        for p in range(n):
+            for new in ([], ["zq"], [t.split()[p], "zq"]):
+                w = t.split()
+                w[p : p + 1] = new
+                if n == 4 and len(w) > 4 and p == 3:
+                    continue  # the item itself, and a word after it
+                (near if n > 4 else far).append((n, f"some words before {' '.join(w)} and after"))
+        w = t.split()
+        w[1], w[3] = "zq", "yy"
+        far.append((n, f"some words before {' '.join(w)} and after"))
+    rows = [(i, t) for i, (_, t) in enumerate(near + far)]
+    got = decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows_of(got, "doc_id", "item_id") == sorted([(i, n) for i, (n, _) in enumerate(near)], key=repr)
+
+
 def test_edit_distance():
     assert decontam.edit_distance([1, 2, 3, 4], [9, 1, 2, 7, 4, 9], 1) == (1, 1, 5)
     assert decontam.edit_distance([1, 2, 3], [4, 5], 1) is None
