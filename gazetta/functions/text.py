@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -19,6 +20,25 @@ PROVINCE_LEVELS = ["thành phố", "tỉnh"]
 _STRIP = r"(?U)^\s+|\s+$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body names it (also inside its own lambdas)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def running_total(sizes: Column) -> Column:
+    """An array as long as `sizes` of the sums of all numbers before each place.
+
+    From sums over blocks of 128 places, as a fold that appends to an array would copy it at every step.
+    """
+    total = lambda numbers: F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(sizes) / 128).cast("int")), lambda b: total(F.slice(sizes, b * 128 + 1, 128)))
+
+    def before(sums: Column) -> Column:
+        return let(F.transform(sums, lambda x, i: total(F.slice(sums, F.lit(1), i))), lambda starts: F.transform(sizes, lambda x, i: F.get(starts, F.floor(i / 128).cast("int")) + total(F.slice(sizes, F.floor(i / 128).cast("int") * 128 + 1, i % 128))))
+
+    return F.when(F.size(sizes) > 0, let(blocks, before))
+
+
 def normalized(c: Column) -> Column:
     """Lower case, no Unicode white space at the ends, runs of U+0020 (only) as one."""
     return F.regexp_replace(F.regexp_replace(F.lower(c), _STRIP, ""), " +", " ")
@@ -53,12 +73,37 @@ def _unaccented(s: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFKD", s.replace("đ", "d").replace("Đ", "D")) if not unicodedata.combining(x))
 
 
-def _unaccented_series(s: pd.Series) -> pd.Series:
-    return s.map(_unaccented, na_action="ignore")
+#: Ranges in which accented letters are told one by one (Latin, Greek, Cyrillic), and ranges without any.
+_TOLD = [(0x80, 0x52F), (0x1E00, 0x1FFF)]
+_PLAIN = [(0x00, 0x7F), (0x2010, 0x2010), (0x2012, 0x2016), (0x2018, 0x2023), (0x4E00, 0x9FFF), (0x1F300, 0x1FAFF)]
+
+
+@cache
+def _letters() -> tuple[str, str, str]:
+    """The characters that lose their accents as one character, what they become, and a pattern of all not told here."""
+    of = {chr(c): _unaccented(chr(c)) for lo, hi in _TOLD for c in range(lo, hi + 1) if not 0x300 <= c < 0x370}
+    pairs = {c: plain for c, plain in of.items() if c != plain and len(plain) == 1}
+    longer = "".join(c for c, plain in of.items() if len(plain) != 1)
+    ranges = "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in _TOLD + _PLAIN)
+    return "".join(pairs), "".join(pairs.values()), f"[^{ranges}]|[{longer}]"
+
+
+@cache
+def _in_python():
+    return F.pandas_udf(lambda s: s.map(_unaccented, na_action="ignore"), StringType())
 
 
 def remove_accents(c: Column | str) -> Column:
-    """đ to d, then NFKD without combining characters. Spark has no normalisation of its own; Arrow batches."""
+    """đ to d, then NFKD without combining characters.
+
+    Letters with accents are mapped and combining marks (U+0300 to U+036F) removed by Spark itself; only texts with
+    characters of other scripts (some of which decompose: full-width forms, Hangul, ...) go through Python, the others as
+    nulls.
+    """
     if session := SparkSession.getActiveSession():
         ship(session)
-    return F.pandas_udf(_unaccented_series, StringType())(c)
+    c = F.col(c) if isinstance(c, str) else c
+    accented, plain, other = _letters()
+    odd = c.rlike(other)
+    native = F.regexp_replace(F.translate(c, accented, plain), "[\\x{300}-\\x{36f}]+", "")
+    return F.when(odd, _in_python()(F.when(odd, c))).otherwise(native)

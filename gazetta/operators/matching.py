@@ -1,40 +1,79 @@
 """Whole-word matching of many spellings in many addresses, as an equality join.
 
-A spelling matches between two word boundaries (a change between [0-9A-Za-z_] and anything else). All pieces of an
-address between two boundaries, up to the longest spelling, are joined by hash with the broadcast dictionary; no pattern
-is ever tried. Of one area's overlapping matches, the leftmost and then the longest stays.
+A spelling matches between two word boundaries (a change between [0-9A-Za-z_] and anything else). An address is cut once
+into its runs of word and of other characters; every sequence of runs, up to the longest spelling, is a piece, and pieces
+are joined by hash with the dictionary; no pattern is ever tried. Of one area's overlapping matches, the leftmost and
+then the longest stays. The matcher is case-sensitive; match_areas(case_sensitive=False) looks in lower-cased addresses
+for lower-cased spellings.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.functions.text import let, running_total
 from gazetta.plans.gazetteer import KINDS
 
 #: Rows up to which a dictionary or gazetteer is broadcast (some 100 bytes each); beyond it Spark joins as it sees fit.
 BROADCAST_ROWS = 1_000_000
+#: Rows up to which such a table is fetched once and put into later plans as rows, in place of the plan that makes them.
+LOCAL_ROWS = 100_000
+_RUNS = "[0-9A-Za-z_]+|[^0-9A-Za-z_]+"
+
+
+class Spellings(NamedTuple):
+    """A dictionary (kind, code, name, level, variant) with what the matcher has to know of it before it plans."""
+
+    table: DataFrame
+    rows: int
+    most_runs: int
+
 
+def runs(text: Column) -> Column:
+    """The maximal runs of word characters and of others; only ASCII letters, digits and _ are word characters."""
+    return F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
 
-def broadcast_if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
+def small_table(df: DataFrame) -> tuple[DataFrame, int]:
+    """df, with a hint to broadcast it if its counted rows are few enough, and that count; made once, not in each plan."""
+    head = df.limit(LOCAL_ROWS + 1).toArrow()
+    if head.num_rows <= LOCAL_ROWS:
+        rows = df.sparkSession.createDataFrame(head, df.schema)
+        return F.broadcast(rows), head.num_rows
+    df = df.persist()
+    n = df.count()
+    return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
 
-def boundaries(text: Column) -> Column:
-    """Positions (code points, from 0) at which a word begins or ends.
 
-    Only ASCII letters, digits and _ are word characters, whatever the engine's \\b says.
+def spellings(dictionary: DataFrame, case_sensitive: bool = True) -> Spellings:
+    """A dictionary made ready once, so that no later plan makes the spellings again."""
+    table, n = small_table(dictionary if case_sensitive else dictionary.withColumn("variant", F.lower("variant")))
+    most = table.agg(F.max(F.size(runs(F.col("variant"))))).first()[0] if n else 0
+    return Spellings(table, n, most or 0)
+
+
+def pieces(addresses: DataFrame, most_runs: int) -> DataFrame:
+    """idx, addr, start_idx, piece for each piece of an address between two boundaries, of most_runs runs at most.
+
+    The runs are taken from the address once, outside every lambda; what is exploded are short windows of them.
     """
-    is_word = lambda i: F.substring(text, i, F.lit(1)).rlike("[0-9A-Za-z_]")  # noqa: E731  ("" beyond the ends isn't)
-    return F.filter(F.sequence(F.lit(0), F.length(text)), lambda i: F.when(i == 0, F.lit(False)).otherwise(is_word(i)) != is_word(i + 1))
+    cut = addresses.select("idx", "addr", runs(F.col("addr")).alias("runs")).where(F.size("runs") > 0)
+    is_word = lambda run: run.rlike("^[0-9A-Za-z_]")
+    # The ends of a text are boundaries only beside a word character.
+    opens = F.when(is_word(F.get("runs", F.lit(0))), 0).otherwise(1)
+    closes = F.size("runs") - F.when(is_word(F.element_at("runs", -1)), 0).otherwise(1)
 
+    def windows(before: Column) -> Column:
+        at = lambda i: F.struct(F.get(before, i).alias("s"), F.slice("runs", i + 1, F.least(F.lit(most_runs), F.col("z") - i)).alias("w"))
+        return F.when(F.col("a") < F.col("z"), F.transform(F.sequence("a", F.col("z") - 1), at))
 
-def pieces(addresses: DataFrame, longest: int) -> DataFrame:
-    """idx, addr, start_idx, piece for each piece of an address between two boundaries."""
-    each = addresses.select("idx", "addr", boundaries(F.col("addr")).alias("b")).select("idx", "addr", "b", F.explode("b").alias("s"))
-    ends = F.filter("b", lambda e: (e > F.col("s")) & (e <= F.col("s") + longest))
-    spans = each.select("idx", "addr", "s", F.explode(ends).alias("e"))
-    return spans.select("idx", "addr", F.col("s").alias("start_idx"), F.expr("substring(addr, s + 1, e - s)").alias("piece"))
+    bounded = cut.withColumns({"a": opens, "z": closes, "sizes": F.transform("runs", F.length)})
+    each = bounded.select("idx", "addr", F.inline(let(running_total(F.col("sizes")), windows)))
+    grown = F.transform(F.sequence(F.lit(1), F.size("w")), lambda j: F.array_join(F.slice("w", F.lit(1), j), ""))
+    return each.select("idx", "addr", F.col("s").alias("start_idx"), F.explode(grown).alias("piece"))
 
 
 def _leftmost_longest(spans: Column) -> Column:
@@ -50,12 +89,19 @@ def _leftmost_longest(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, step, lambda a: a["kept"])
 
 
-def match_areas(addresses: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """idx, addr, kind, code, name, level, start_idx, end_idx (inclusive): the one shuffle is by idx."""
-    longest = dictionary.agg(F.max(F.length("variant"))).first()[0] or 0
-    spelled = broadcast_if_small(dictionary.withColumnRenamed("variant", "piece"))
-    hits = pieces(addresses, longest).join(spelled, "piece").select("idx", "addr", "kind", "code", "name", "level", "start_idx", F.length("piece").alias("n"))
-    by_area = hits.repartition("idx").groupBy("idx", "addr", "kind", "code", "name", "level")
+def match_areas(addresses: DataFrame, dictionary: DataFrame | Spellings, case_sensitive: bool = True) -> DataFrame:
+    """idx, addr, kind, code, name, level, start_idx, end_idx (inclusive): the one shuffle is of the addresses, by idx.
+
+    A dictionary that is used for several tables is prepared once by spellings().
+    """
+    known = dictionary if isinstance(dictionary, Spellings) else spellings(dictionary, case_sensitive)
+    spelled = known.table.withColumnRenamed("variant", "piece")
+    rows = addresses.select("idx", "addr") if case_sensitive else addresses.select("idx", F.lower("addr").alias("addr"))
+    # Addresses are dealt by idx before they are cut into pieces, which makes many tasks of a small file; with a fixed
+    # number of partitions, as their bytes don't tell the work. What is found is in place for all that follows.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "idx")
+    hits = pieces(rows, known.most_runs).join(spelled, "piece").select("idx", "addr", "kind", "code", "name", "level", "start_idx", F.length("piece").alias("n"))
+    by_area = hits.groupBy("idx", "addr", "kind", "code", "name", "level")
     kept = by_area.agg(_leftmost_longest(F.collect_set(F.struct(F.col("start_idx").alias("s"), (-F.col("n")).alias("m")))).alias("kept"))
     return kept.select("idx", "addr", "kind", "code", "name", "level", F.inline("kept").alias("s", "e")).select(
         "idx", "addr", "kind", "code", "name", "level", F.col("s").cast("long").alias("start_idx"), F.col("e").cast("long").alias("end_idx")

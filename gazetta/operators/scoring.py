@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.operators.matching import broadcast_if_small
+from gazetta.operators.matching import small_table
 from gazetta.plans.gazetteer import COLUMNS
 
 RESULT = ["idx", "addr", "ward_code", "ward", "district_code", "district", "province_code", "province", "score"]
@@ -76,11 +76,11 @@ def first_wards(gazetteer: DataFrame, kind: str) -> DataFrame:
 def all_scores(gathered: DataFrame, gazetteer: DataFrame, fan_out: bool = True) -> DataFrame:
     """UNION ALL of the strategies, with the strategy's number. Without fan-out, only rows that can be the best remain."""
     full = gazetteer.select(*[c for c in COLUMNS if not c.endswith("_level")]).distinct()
-    small = broadcast_if_small(full)
+    small, _ = small_table(full)
     out = []
     for i, s in enumerate(STRATEGIES):
         # An area of a higher kind has rows for all its wards; the tie rule would take the first of them.
-        areas = small if fan_out or s.areas[0] == "ward" or s.name == "dp" else broadcast_if_small(first_wards(full, s.areas[0]))
+        areas = small if fan_out or s.areas[0] == "ward" or s.name == "dp" else small_table(first_wards(small, s.areas[0]))[0]
         out.append(score(gathered, areas, s).withColumn("strategy", F.lit(i)))
     return reduce(DataFrame.unionByName, out)
 

@@ -48,8 +48,8 @@ def distinct_areas(gazetteer: DataFrame, kind: str) -> DataFrame:
 def variants(gazetteer: DataFrame, kind: str) -> DataFrame:
     """code, name, level, variants: spellings are unaccented; only wards go without abbreviations."""
     areas = distinct_areas(gazetteer, kind).where("name IS NOT NULL")
-    # The aggregation keeps the Python function's columns out of the lambdas below, which can't hold one.
-    plain = areas.withColumns({"_name": remove_accents("name"), "_level": remove_accents("level")}).distinct()
+    # What a generator gives is computed once, however often the spellings below name it, and stays out of their lambdas.
+    plain = areas.select("*", F.inline(F.array(F.struct(remove_accents("name").alias("_name"), remove_accents("level").alias("_level")))))
     return plain.withColumn("variants", area_variants(F.col("_name"), F.col("_level"), shorten=kind != "ward")).drop("_name", "_level")
 
 

@@ -10,12 +10,14 @@ from gazetta.operators import matching, scoring
 from gazetta.plans import gazetteer as gz
 
 
-def resolve(addresses: DataFrame, gazetteer: DataFrame) -> DataFrame:
+def resolve(addresses: DataFrame, gazetteer: DataFrame, spellings: matching.Spellings | None = None) -> DataFrame:
     """The best answer for each idx of addresses (idx, addr), with the number of the strategy that gave it.
 
+    spellings: the gazetteer's, prepared, where several tables are resolved by one gazetteer.
+
     An address without any match has no row (see unresolved()); rows that share an idx are mixed, and one is kept.
     """
-    matches = matching.match_areas(normalize_strings(addresses.select("idx", "addr")), gz.dictionary(gazetteer))
+    matches = matching.match_areas(normalize_strings(addresses.select("idx", "addr")), spellings or gz.dictionary(gazetteer))
     return scoring.best(scoring.all_scores(matching.gathered(matches), gazetteer, fan_out=False))
 
 

@@ -36,8 +36,8 @@ SELECT CAST(c.c_custkey AS BIGINT) AS idx, CASE c.c_custkey % 8
  WHEN 5 THEN concat('to 1; ', g.province)
  WHEN 6 THEN concat(g.province, ', ', g.district, ', ', g.ward)
  ELSE concat('khong ro ', CAST(c.c_custkey AS STRING)) END AS addr
-FROM customer c CROSS JOIN (SELECT count(*) AS n FROM supplier) k
- JOIN gaz g ON CAST(g.ward_code AS BIGINT) = c.c_custkey % k.n"""
+FROM (SELECT c_custkey, CAST(c_custkey % k.n AS BIGINT) AS w FROM customer CROSS JOIN (SELECT count(*) AS n FROM supplier) k) c
+ JOIN gaz g ON CAST(g.ward_code AS BIGINT) = c.w"""
 
 #: Full names, with their unit words in mixed case, for the queries on unit words.
 FULL_NAMES = """
@@ -94,7 +94,7 @@ def _variants(kind: str):
 def _score(s: scoring.Strategy):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         areas = gazetteer(spark, sf_dir).distinct()
-        return scoring.score(matching.gathered(_matches(spark, sf_dir)), matching.broadcast_if_small(areas), s)
+        return scoring.score(matching.gathered(_matches(spark, sf_dir)), matching.small_table(areas)[0], s)
 
     return query
 
