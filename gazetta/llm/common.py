@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gazetta.shipping import ship
 
-__all__ = ["SPACE", "fresh_path", "remove", "saved", "shared_dir", "ship", "table", "text_or_empty"]
+__all__ = ["SPACE", "fresh_path", "one_of_each", "remove", "saved", "shared_dir", "ship", "table", "text_or_empty", "without_rows"]
 
 #: White space of the text contracts: space and the five control characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -50,5 +50,35 @@ def remove(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def one_of_each(docs: DataFrame, id_col: str, text_col: str, grouped: DataFrame) -> DataFrame:
+    """docs with one row of each group: the one of the smallest id (null last), then text key; all columns stay.
+
+    grouped: doc_id, text_key, group for each row of docs (a null group: the row stays). Rows go one by one, not by id:
+    rows that share an id stay or go by their texts, and of rows that repeat id and text one stays.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = grouped.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    told = grouped.join(first, "group").groupBy("doc_id", "text_key").agg(F.max(key == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("n"))
+    told, _ = saved(told.where("NOT stays OR n > 1"), "dropped")
+    rest = without_rows(docs, id_col, text_col, told)
+    again = told.where("stays")
+    if again.isEmpty():
+        return rest
+    repeated = _matching(docs, id_col, text_col, again, "left_semi")
+    return rest.unionByName(repeated.dropDuplicates(["doc_id", "text_key"]).select("row.*"))
+
+
+def _matching(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame, how: str) -> DataFrame:
+    """row (all columns of docs, whatever their names), doc_id, text_key of the rows with, or without, a key in keys."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"))
+    keys = keys.select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_t"))
+    return rows.join(keys, (F.col("text_key") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_i")), how)
+
+
+def without_rows(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> DataFrame:
+    """docs without the rows whose id and text key are in keys (doc_id, text_key)."""
+    return _matching(docs, id_col, text_col, keys, "left_anti").select("row.*")
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))

@@ -6,8 +6,9 @@ whole group of rows. Runs then meet in rounds as in a binomial tree (of fan-in `
 runs g*f .. g*f+f-1 of a bucket are merged into run g. A merge keeps, for each digest, the smallest id and the sum of
 the counts, and verifies that entries of one digest agree on the byte length.
 
-Edge cases: a null text counts as empty; rows of one doc_id share their fate; a null doc_id sorts after all others, so it
-is kept only where every id of its group is null; an empty table gives no rows; other columns are not looked at.
+Edge cases: a null text counts as empty; a null doc_id sorts after all others, so it is kept only where every id of its
+group is null; an empty table gives no rows; other columns are not looked at. drop_exact_copies drops rows, not ids: a row
+that shares its doc_id with a copy stays if its own text is the first of its kind, and of repeated rows one stays.
 """
 
 from __future__ import annotations
@@ -104,12 +105,17 @@ def duplicate_groups(thin: DataFrame, rows: int, fan_in: int = 8) -> DataFrame:
     return runs.mapInArrow(_unpack, "digest binary, keep_id long, group_size long")
 
 
+def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key, digest and size of the normalised text of each row."""
+    common.ship(docs.sparkSession)
+    norm = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), normalised(text_col).alias("t"))
+    return common.saved(norm.select("doc_id", "text_key", F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("size")), "digests")[0]
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 8) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for each row of docs."""
-    common.ship(docs.sparkSession)
-    norm = docs.select(F.col(id_col).cast("long").alias("doc_id"), normalised(text_col).alias("t"))
-    thin, _ = common.saved(norm.select("doc_id", F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("size")), "digests")
-    groups = duplicate_groups(thin, thin.count(), fan_in)
+    thin = _digests(docs, id_col, text_col)
+    groups = duplicate_groups(thin.select("doc_id", "digest", "size"), thin.count(), fan_in)
     keep = F.when(F.col("keep_id") != NO_ID, F.col("keep_id"))
     return thin.join(groups, "digest", "left").select(
         "doc_id",
@@ -121,6 +127,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose text an earlier row has; all columns stay."""
-    dropped = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id")).distinct()
-    return docs.join(dropped, F.col(id_col).cast("long").eqNullSafe(F.col("_dropped_id")), "left_anti")
+    """docs with one row of each text: of the smallest id, and of rows that repeat it one; all columns stay."""
+    thin = _digests(docs, id_col, text_col)
+    groups = duplicate_groups(thin.select("doc_id", "digest", "size"), thin.count())
+    copies = thin.join(groups.select("digest"), "digest").select("doc_id", "text_key", F.col("digest").alias("group"))
+    return common.one_of_each(docs, id_col, text_col, copies)

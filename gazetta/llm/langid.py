@@ -5,13 +5,15 @@ and single spaces and compressed block by block (so that a long text profits fro
 dictionary; the language of the smallest total wins. The margin is (second - smallest) / second; texts below
 ``MARGIN`` are rejected.
 
-The training rows: of each language, the ROWS rows of the smallest hash of (id, length); of their texts, DICT_BYTES at
-most. Both bounds are parameters; everything else covers all rows and whole texts. What is sent to the driver and back
-to the workers is bounded by the number of language codes times DICT_BYTES.
+The training rows: of each language, the ROWS rows of the smallest hash of (id, length), those above ROW_BYTES after all
+others; whole texts are taken in this order until they come to DICT_BYTES. These three bounds of the labelled sample are
+parameters; everything else covers all rows and whole texts, and texts of every length are treated alike. What is sent to
+the driver is bounded by the number of language codes times ROWS texts, and to the workers times DICT_BYTES and a text.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0 and rejected; rows without a language don't
 teach; without any labelled row all texts are ``und``; ties go to the code that sorts first; with one language only the
-score is 1; equal texts get equal answers, for only the text is looked at.
+score is 1; equal texts get equal answers, for only the text is looked at. identify()'s own columns replace columns of the
+same name; keep_identified() gives the input's columns back whatever their names.
 """
 
 from __future__ import annotations
@@ -23,16 +25,17 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from gazetta.llm import common
 
-ROWS, DICT_BYTES = 200, 96 << 10
+ROWS, ROW_BYTES, DICT_BYTES = 200, 16 << 10, 96 << 10
 #: Bytes of a block that is compressed by itself.
 BLOCK = 4096
 #: Smallest margin that is accepted.
 MARGIN = 0.002
-#: Compression levels of short and of other texts: short ones need the thorough search, and there it costs little.
-LEVEL_SHORT, LEVEL, SHORT = 9, 3, 1024
+#: Compression level, the same for all texts.
+LEVEL = 6
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -49,18 +52,19 @@ def letters(text: str) -> str:
     return s if any(map(str.isalpha, s)) else ""
 
 
-def train(docs: DataFrame, rows: int = ROWS, size: int = DICT_BYTES) -> dict[str, bytes]:
+def train(docs: DataFrame, rows: int = ROWS, size: int = DICT_BYTES, row_bytes: int = ROW_BYTES) -> dict[str, bytes]:
     """Language -> dictionary. docs: doc_id, text, lang of the rows to learn from."""
-    # Four times a row's fair share of the dictionary, so that some short rows don't leave it half empty.
-    share = 4 * max(1, size // max(1, rows))
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", F.substring("text", 1, share).alias("t"), F.xxhash64("doc_id", F.octet_length("text")).alias("h"))
+    n = F.octet_length("text")
+    known = docs.where(F.col("lang").isNotNull() & (n > 0)).select("lang", "doc_id", F.col("text").alias("t"), F.xxhash64("doc_id", n).alias("h"), (n > row_bytes).alias("long"))
     # The rank's bound reaches below the shuffle (WindowGroupLimit), so a hot language sends `rows` rows per task.
-    order = Window.partitionBy("lang").orderBy("h", "doc_id", "t")
-    picked = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows).collect()
+    order = Window.partitionBy("lang").orderBy("long", "h", "doc_id", "t")
+    picked = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows).select("lang", "k", "t").collect()
     out: dict[str, list[bytes]] = {}
     for r in sorted(picked, key=lambda r: (r["lang"], r["k"])):
-        out.setdefault(r["lang"], []).append(letters(r["t"]).encode())
-    return {lang: b" ".join(t)[:size] for lang, t in out.items() if any(t)}
+        taught = out.setdefault(r["lang"], [])
+        if sum(map(len, taught)) < size:
+            taught.append(letters(r["t"]).encode())
+    return {lang: b" ".join(filter(None, t)) for lang, t in out.items() if any(t)}
 
 
 class Classifier:
@@ -68,20 +72,18 @@ class Classifier:
         import zstandard
 
         self.langs = sorted(dictionaries)
-        self.coders = {}
-        for level in (LEVEL_SHORT, LEVEL):
-            for lang in self.langs:
-                d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(level=level)
-                coder = zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-                self.coders.setdefault(level, []).append(coder.compress)
+        self.coders = []
+        for lang in self.langs:
+            d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(level=LEVEL)
+            self.coders.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress)
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         s = letters(text or "").encode()
         if not s or not self.langs:
             return "und", 0.0
         blocks = [s[i : i + BLOCK] for i in range(0, len(s), BLOCK)]
-        sizes = [sum(map(len, map(c, blocks))) for c in self.coders[LEVEL_SHORT if len(s) <= SHORT else LEVEL]]
+        sizes = [sum(map(len, map(c, blocks))) for c in self.coders]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         if len(sizes) == 1:
             return self.langs[0], 1.0
@@ -104,9 +106,16 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     """The columns in keep (default: all) of docs, with lang_pred and score; narrow."""
     spark = docs.sparkSession
     common.ship(spark)
-    rows = docs.select(*[F.col(c) for c in (docs.columns if keep is None else keep)], F.col(text_col).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_text") + ", lang_pred string, score double"
-    return rows.mapInArrow(_predict(spark.sparkContext.broadcast(dictionaries)), schema)
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
+    rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("_text"))
+    schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(_predict(spark.sparkContext.broadcast(dictionaries)), schema).select("row.*", "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:
+    """docs, all columns as they are, without the rows whose language isn't told with a clear margin."""
+    whole = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    return identify(whole, dictionaries, keep=["row"]).where(accepted()).select("row.*")
 
 
 def accepted(margin: float = MARGIN):

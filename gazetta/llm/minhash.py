@@ -1,24 +1,30 @@
 """Near-duplicate detection: universal hash minima, banding, verification on full sets, connected components.
 
-1. Each document's set of word shingles gives HASHES minima under universal hash functions (a*h + b mod 2**32) and BANDS
-   band keys. Equal sets are one *class*, told by a 128-bit digest of the set; from here on only classes count, so exact
-   copies meet nowhere. A bucket is the classes that share a band key.
-2. In each bucket all members are paired with one of them, its head; pairs are verified by signature and then on the full
-   sets, read again from the texts; verified links give components. This is repeated with other heads, and only for
-   members of other components than the head's, as long as it pays: thousands of near copies cost a few pairs each.
-3. In buckets that still hold several components, the members outside the largest are paired with all members of other
-   components: in small buckets by a join on the key, in large ones in blocks of BLOCK members, where signatures rule
-   out what cannot be similar before a pair is made. Verified
-   links join the components. No bucket, partner or candidate is capped.
-4. Membership of classes and documents is joined back.
-
-With similarity 0.8, 240 minima in 40 bands of 6 miss a pair of exactly that similarity with probability 5e-6. A pair
-whose 240 minima agree in less than the similarity minus 0.12 is ruled out (2e-6 at 0.8, 4.6 standard deviations).
+1. Each document's set of word shingles gives HASHES minima under universal hash functions (a*h + b mod 2**32), BANDS
+   band keys of them, and an *odd sketch*: bit i is the parity of the set's members that fall on i. Equal sets are one
+   *class*, told by a 128-bit digest of the set; from here on only classes count, so exact copies meet nowhere. A bucket
+   is the classes that share a band key; of buckets with the same members one stays.
+2. Each bucket is dealt in blocks of about BLOCK members; all blocks of a bucket also hold its HEADS most popular members
+   (those that share buckets with most others, that is the middle of a group of copies). Within a block all pairs are
+   looked at, but only a forest of likely links leaves it, nearest pairs first: fewer rows than members. The bits in which
+   two odd sketches differ are never more than the members in which the sets differ, so this signature verification
+   rules out nothing that is similar.
+3. The pairs of the forests are verified on the full sets, read again from the texts; links give components, by
+   alternating large-star and small-star.
+4. What a forest left out matters only where one of its pairs was refused, and blocks saw only their own members and the
+   heads. So in buckets of several blocks, or with a refused pair, that still hold several components, the members outside
+   the largest one meet all members of other components, in pairs of blocks, refused pairs aside. Again only forests leave
+   a task, and the steps repeat (with more forests each time) until no block has a likely link left. No bucket, partner or
+   candidate is capped, and the rows of every step are in proportion to the members.
+5. Membership of classes and documents is joined back.
+
+With similarity 0.8, 240 minima in 40 bands of 6 miss a pair of exactly that similarity with probability 5e-6.
 
 Edge cases: documents without words or text have an empty set and are alone; fewer words than a shingle count as one
 shingle; equal rows are linked; rows of one doc_id are told apart by their sets; a null doc_id counts as larger than
-all others, so its component is null only where all ids in it are; an empty
-table gives no rows; other columns are not looked at.
+all others, so its component is null only where all ids in it are; an empty table gives no rows; other columns are not
+looked at. drop_near_duplicates keeps one row of each component, the one of the smallest doc_id (and of repeated rows
+one), and all documents without words.
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazetta.llm import common
@@ -37,12 +43,10 @@ from gazetta.llm.textkernel import mix, shingle_hashes, slices, word_hashes, wor
 
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
-#: Members of a bucket up to which its pairs are made by a join, and members of a block beyond it.
-SMALL, BLOCK = 64, 512
-#: Rounds of heads at most; a round that leaves more than this share of the pairs across components ends them.
-ROUNDS, LEFT = 8, 0.9
-#: How far a signature's agreement may stay below the similarity.
-SLACK = 0.12
+#: Members of a block, on average, and members that all blocks of a bucket hold.
+BLOCK, HEADS = 512, 4
+#: Bits of an odd sketch: a power of two, at least so many for each member of the set and at least so many in all.
+BITS, LEAST_BITS = 8, 512
 _rng = np.random.default_rng(8)
 _A = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
 _B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -78,59 +82,39 @@ def set_key(s: bytes) -> bytes:
     return hashlib.blake2b(s, digest_size=16).digest()
 
 
+def odd_sketch(s: np.ndarray) -> bytes:
+    """The parities of a set's members by their low bits."""
+    bits = LEAST_BITS
+    while bits < BITS * len(s):
+        bits *= 2
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
 def _sign(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, key, bands, sigs = [], [], [], []
+            n, key, bands, sketches = [], [], [], []
             for s in shingle_sets(b.column("_text"), k):
                 n.append(len(s))
-                if len(s):
-                    sig = signature(s)
-                    key.append(set_key(s.tobytes()))
-                    bands.append(band_keys(sig))
-                    sigs.append(sig.astype(np.uint16).tobytes())
-                else:
-                    key.append(None), bands.append(None), sigs.append(None)
+                key.append(set_key(s.tobytes()) if len(s) else None)
+                bands.append(band_keys(signature(s)) if len(s) else None)
+                sketches.append(odd_sketch(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "bands", "sig"],
+                [b.column("doc_id"), b.column("text_key"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "set_key", "bands", "sketch"],
             )
 
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for their way through the shuffle."""
-    import zstandard
-
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([pack((x.as_py() or "").encode()) for x in b.column("_text")], pa.binary())], ["key", "z"])
-
-
 def _sets(k: int):
-    """The sets of packed texts, of those that are their class's (rows may share a doc_id and differ)."""
-    import zstandard
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for b in batches:
-            texts = pa.array([unpack(x.as_py()).decode() for x in b.column("z")], pa.string())
-            sets = [s.tobytes() for s in shingle_sets(texts, k)]
-            out = pa.RecordBatch.from_arrays([b.column("key"), pa.array(sets, pa.binary())], ["id", "s"])
-            yield out.filter(pa.array([set_key(s) == x.as_py() for s, x in zip(sets, b.column("key"), strict=True)], pa.bool_()))
-
-    return run
-
-
-def _agree(percent: int):
-    """Pairs whose signatures allow the similarity."""
-    least = HASHES * (percent / 100 - SLACK)
+    """The sets of the texts of wanted classes (rows may share a key and differ)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(v.as_py() for v in b.column(c)), np.uint16).reshape(-1, HASHES) for c in ("ga", "gb"))
-            yield b.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least, pa.bool_()))
+            sets = [s.tobytes() for s in shingle_sets(b.column("_text"), k)]
+            out = pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], ["id", "s"])
+            yield out.filter(pa.array([set_key(s) == x.as_py() for s, x in zip(sets, b.column("id"), strict=True)], pa.bool_()))
 
     return run
 
@@ -138,165 +122,217 @@ def _agree(percent: int):
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
+            ok = []
             for x, y in zip(b.column("sa"), b.column("sb"), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                ok.append(100 * both >= percent * (len(p) + len(q) - both))
+            yield b.select(["a", "b"]).append_column("ok", pa.array(ok, pa.bool_()))
 
     return run
 
 
-def _across(percent: int):
-    """Pairs of the members to be placed with a block of their bucket, of other components, that sizes and signatures allow."""
-    least = HASHES * (percent / 100 - SLACK)
+def likely_pairs(sketches: list[bytes], size: np.ndarray, asks: np.ndarray, comp: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (x, y) of different components, x asking, that sizes and odd sketches allow to be similar; and their distance."""
+    length = np.array([len(s) for s in sketches])
+    bits = {n: np.frombuffer(b"".join(sketches[i] for i in np.flatnonzero(length == n)), np.uint64).reshape(-1, n // 8) for n in np.unique(length).tolist()}
+    out = [(np.empty(0, np.int64),) * 2 + (np.empty(0),)]
+    for n, mine in bits.items():
+        # Sizes of similar sets are in one power of two or in the next; a longer sketch folds to the shorter one.
+        others = [(n, mine)]
+        if 2 * n in bits:
+            w = bits[2 * n].shape[1] // 2
+            others.append((2 * n, bits[2 * n][:, :w] ^ bits[2 * n][:, w:]))
+        at = np.flatnonzero(length == n)
+        for m, theirs in others:
+            there = np.flatnonzero(length == m)
+            for row, x in enumerate(at):
+                if m == n and not asks[x]:
+                    continue
+                good = (comp[there] != comp[x]) & (100 * np.minimum(size[there], size[x]) >= percent * np.maximum(size[there], size[x]))
+                if m == n:
+                    good &= ~asks[there] | (there > x)
+                else:
+                    good &= asks[there] | asks[x]
+                if good.any():
+                    y = np.flatnonzero(good)
+                    both = (size[there[y]] + size[x]).astype(np.int64)
+                    differ = np.bitwise_count(theirs[y] ^ mine[row]).sum(axis=1, dtype=np.int64)
+                    near = (100 + percent) * differ <= (100 - percent) * both
+                    y, differ, both = there[y[near]], differ[near], both[near]
+                    out.append((np.full(len(y), x), y, differ / both))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def forests(x: np.ndarray, y: np.ndarray, distance: np.ndarray, comp: np.ndarray, tries: int) -> np.ndarray:
+    """Numbers of the edges (x, y) of `tries` forests over components, nearest first, no edge in two of them."""
+    order = np.argsort(distance, kind="stable")
+    taken: list[int] = []
+    for _ in range(tries):
+        if not len(order):
+            break
+        root = np.arange(comp.max() + 1)
+
+        def find(c: int, root: np.ndarray = root) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        left, more = order, []
+        while len(left):
+            for e in left[:1024]:
+                a, b = find(comp[x[e]]), find(comp[y[e]])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    more.append(int(e))
+            left = left[1024:]
+            while (root != root[root]).any():
+                root[:] = root[root]
+            left = left[root[comp[x[left]]] != root[comp[y[left]]]]
+        taken += more
+        order = order[~np.isin(order, more)]
+    return np.array(taken, np.int64)
+
+
+def _links(percent: int, tries: int):
+    """The likely links of a block (or of a pair of blocks) that could join components, as forests."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        ids, size = group.column("id").to_pylist(), group.column("n").to_numpy()
-        _, comp = np.unique(np.array(group.column("comp").to_pylist(), "S16"), return_inverse=True)
-        sig = np.frombuffer(b"".join(x.as_py() for x in group.column("sig")), np.uint16).reshape(-1, HASHES)
-        asks = group.column("asks").to_numpy(zero_copy_only=False)
-        there, a, b = np.flatnonzero(~asks), [], []
-        for x in np.flatnonzero(asks):
-            y = there[(comp[there] != comp[x]) & (100 * np.minimum(size[there], size[x]) >= percent * np.maximum(size[there], size[x]))]
-            for z in y[(sig[y] == sig[x]).sum(axis=1) >= least]:
-                a.append(max(ids[x], ids[z])), b.append(min(ids[x], ids[z]))
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        ids = group.column("id").to_pylist()
+        # A head may also be a member of the block, and one that asks also be asked.
+        first = {(i, ask): at for at, (i, ask) in reversed(list(enumerate(zip(ids, group.column("asks").to_pylist(), strict=True))))}
+        at = np.array(sorted(first.values()), np.int64)
+        group, ids = group.take(pa.array(at)), [ids[i] for i in at]
+        _, comp = np.unique(np.array([(c or i).hex() for c, i in zip(group.column("comp").to_pylist(), ids, strict=True)]), return_inverse=True)
+        size, asks = group.column("n").to_numpy(), group.column("asks").to_numpy(zero_copy_only=False)
+        x, y, distance = likely_pairs(group.column("sketch").to_pylist(), size, asks, comp, percent)
+        refused = [frozenset(r or ()) for r in group.column("refused").to_pylist()]
+        if any(refused):
+            good = np.array([ids[j] not in refused[i] for i, j in zip(x.tolist(), y.tolist(), strict=True)], bool)
+            x, y, distance = x[good], y[good], distance[good]
+        edges = forests(x, y, distance, comp, tries)
+        pairs = [(max(ids[i], ids[j]), min(ids[i], ids[j])) for i, j in zip(x[edges].tolist(), y[edges].tolist(), strict=True)]
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
 
     return run
 
 
 class Finder:
-    """The steps over one table of documents. Joins on keys are merge joins at every size: one plan, no switches."""
+    """The steps over one table of documents. Tables that are joined are saved first, so Spark knows their size."""
 
     def __init__(self, docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
-        self.spark, self.k, self.percent = docs.sparkSession, shingle, percent
+        self.spark, self.k, self.percent, self.saved_paths = docs.sparkSession, shingle, percent, []
         common.ship(self.spark)
-        self.fits = f"100 * least(n, hn) >= {percent} * greatest(n, hn)"
-        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
-        self.signed, _ = common.saved(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary"), "signatures")
-        self.rows = rows
-
-    def prepare(self, members: DataFrame) -> None:
-        """Signatures of the classes that share a bucket with another one."""
-        wanted = members.select(F.col("id").alias("_w")).distinct()
-        sigs = self.signed.select(F.col("set_key").alias("id"), "sig").join(wanted.hint("merge"), F.col("id") == F.col("_w"), "left_semi")
-        self.sigs, _ = common.saved(sigs.groupBy("id").agg(F.first("sig").alias("sig")), "sigs")
+        self.rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("_text"))
+        self.signed = self.save(self.rows.mapInArrow(_sign(shingle), "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, sketch binary"), "signed")
         self.sets: list[DataFrame] = []
 
-    def with_both(self, pairs: DataFrame, values: DataFrame, value: str, short: str) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(values.select(F.col("id").alias(side), F.col(value).alias(short + side)).hint("merge"), side)
-        return pairs
+    def save(self, df: DataFrame, label: str) -> DataFrame:
+        out, path = common.saved(df, label)
+        self.saved_paths.append(path)
+        return out
 
-    def close(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) of classes, those whose signatures allow the similarity."""
-        return self.with_both(pairs.distinct(), self.sigs, "sig", "g").mapInArrow(_agree(self.percent), "a binary, b binary")
+    def done(self) -> None:
+        common.remove(self.spark, *self.saved_paths)
+
+    def buckets(self) -> DataFrame:
+        """id, n, sketch, at (band and size of each of its buckets), popularity of the classes that share a bucket."""
+        banded = self.signed.where("set_key IS NOT NULL").select(F.col("set_key").alias("id"), F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band"))
+        hashed = F.xxhash64("id")
+        shared = self.save(banded.groupBy("band").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi")).where("lo != hi").select("band"), "shared")
+        members = self.save(banded.join(shared, "band").distinct(), "members")
+        sizes = members.groupBy("band").agg(F.count(F.lit(1)).cast("int").alias("m"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum(hashed % (1 << 40)).alias("s"))
+        sizes = self.save(sizes.groupBy("m", "lo", "hi", "s").agg(F.min("band").alias("band")).select("band", "m"), "sizes")
+        by_class = members.join(sizes, "band").groupBy("id", "n").agg(F.collect_list(F.struct("band", "m")).alias("at"), F.sum("m").alias("popularity"))
+        wanted = self.save(by_class, "wanted")
+        sketches = self.signed.select(F.col("set_key").alias("id"), "sketch").join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(F.max("sketch").alias("sketch"))
+        return self.save(wanted.join(sketches, "id"), "classes")
+
+    def within(self, classes: DataFrame) -> DataFrame:
+        """Likely links within blocks, and with the heads of their buckets."""
+        each = classes.select("id", "n", "popularity", F.inline("at"))
+        large = each.where(F.col("m") > BLOCK).withColumn("k", F.row_number().over(Window.partitionBy("band").orderBy(F.col("popularity").desc(), "id")))
+        heads = large.where(F.col("k") <= HEADS).select("id", "band", F.explode(F.sequence(F.lit(0), F.ceil(F.col("m") / BLOCK).cast("int") - 1)).alias("block"))
+        block = F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("m") / BLOCK)).cast("int").alias("block")
+        rows = classes.select("id", "n", "sketch", F.inline("at")).select("id", "n", "sketch", "band", block)
+        rows = rows.unionByName(classes.select("id", "n", "sketch").join(heads, "id"))
+        rows = rows.withColumns({"asks": F.lit(True), "comp": F.lit(None).cast("binary"), "refused": F.array().cast("array<binary>")})
+        return rows.groupBy("band", "block").applyInArrow(_links(self.percent, 1), "a binary, b binary").distinct()
+
+    def across(self, classes: DataFrame, linked: DataFrame, refused: DataFrame, tries: int) -> DataFrame | None:
+        """Likely links of members outside their bucket's largest component, where not all pairs were seen or one was refused."""
+        both = refused.select("a", "b").unionByName(refused.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        partners = self.save(both.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("refused")), "refused")
+        placed = classes.join(linked.withColumnsRenamed({"node": "id", "component": "comp"}), "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(partners, "id", "left")
+        placed = self.save(placed, "placed")
+        each = placed.select("id", "comp", F.col("refused").isNotNull().alias("open"), F.inline("at"))
+        inside = each.groupBy("band", "m", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("open"))
+        mixed = inside.groupBy("band", "m").agg(F.max(F.struct("c", "comp")).alias("top"), F.max("open").alias("open"), F.count(F.lit(1)).alias("comps"))
+        mixed = mixed.where((F.col("comps") > 1) & (F.col("open") | (F.col("m") > BLOCK))).select("band", F.col("top.comp").alias("top"), F.ceil(F.col("m") / BLOCK).cast("int").alias("js"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("is"))
+        mixed = self.save(mixed, "mixed")
+        if mixed.isEmpty():
+            return None
+        rows = placed.select("id", "n", "sketch", "comp", "refused", F.inline("at")).drop("m").join(mixed, "band")
+        part = lambda n: F.pmod(F.xxhash64("id", "band"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = ["band", "i", "j", "id", "n", "sketch", "comp", "refused", "asks"]
+        asking = rows.where("comp != top").withColumns({"i": part("is"), "asks": F.lit(True)}).withColumn("j", every("js")).select(columns)
+        asked = rows.withColumns({"j": part("js"), "asks": F.lit(False)}).withColumn("i", every("is")).select(columns)
+        return asking.unionByName(asked).groupBy("band", "i", "j").applyInArrow(_links(self.percent, tries), "a binary, b binary").distinct()
 
     def verified(self, close: DataFrame) -> DataFrame:
-        """Of pairs (a, b) of classes, those that are similar by their full sets."""
-        close, _ = common.saved(close, "pairs")
-        wanted = close.select(F.col("a").alias("_w")).union(close.select("b")).distinct()
+        """Pairs (a, b) of classes, with ok: whether they are similar by their full sets."""
+        close = self.save(close, "pairs")
+        wanted = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
         for known in self.sets:
-            wanted = wanted.join(known.select("id").hint("merge"), F.col("_w") == F.col("id"), "left_anti")
-        wanted, _ = common.saved(wanted, "wanted")
-        if wanted.count():
-            # One document of each wanted class.
-            first = self.signed.select("doc_id", "set_key").join(wanted.hint("merge"), F.col("set_key") == F.col("_w"), "left_semi").groupBy("set_key").agg(F.min("doc_id").alias("d"))
-            packed = self.rows.select(F.col("doc_id").alias("key"), "_text").mapInArrow(_packed, "key long, z binary")
-            texts = packed.withColumnRenamed("key", "d").join(first.hint("merge"), "d").select(F.col("set_key").alias("key"), "z")
-            sets = texts.mapInArrow(_sets(self.k), "id binary, s binary")
-            self.sets.append(common.saved(sets, "sets")[0])
-        if not self.sets:
-            return close  # no pair at all
+            wanted = wanted.join(known.select("id"), "id", "left_anti")
+        # One document of each wanted class; null ids count as well.
+        source = self.signed.select(F.col("set_key").alias("id"), "doc_id", "text_key").join(wanted, "id", "left_semi")
+        source = self.save(source.groupBy("id").agg(F.min(F.struct("doc_id", "text_key")).alias("of")).select("id", "of.*"), "sources")
+        texts = self.rows.alias("t").join(source.alias("s"), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
+        self.sets.append(self.save(texts.mapInArrow(_sets(self.k), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
         every = self.sets[0]
         for more in self.sets[1:]:
             every = every.unionByName(more)
-        return common.saved(self.with_both(close, every, "s", "s").mapInArrow(_similar(self.percent), "a binary, b binary"), "links")[0]
-
-    def placed(self, members: DataFrame, linked: DataFrame | None) -> DataFrame:
-        """members with the component of each, in buckets of several components only."""
-        if linked is None:
-            every = members.withColumn("comp", F.col("id"))
-        else:
-            every = members.join(linked.withColumnRenamed("node", "id").hint("merge"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-        mixed = every.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("band")
-        return common.saved(every.join(mixed.hint("merge"), "band"), "mixed")[0]
-
-    def across(self, rest: DataFrame) -> float:
-        """Pairs across components in all buckets."""
-        c = rest.groupBy("band", "comp").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("band").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        return c.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0.0
-
-    def heads(self, rest: DataFrame, turn: int) -> DataFrame:
-        """band, head, hn, hcomp: a member of the bucket's largest component, another one each turn."""
-        inside = rest.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("r"), "id", "n")).alias("h"))
-        most = inside.groupBy("band").agg(F.max(F.struct("c", F.xxhash64("comp").alias("r"), "comp", "h")).alias("m"))
-        return most.select("band", F.col("m.h.id").alias("head"), F.col("m.h.n").alias("hn"), F.col("m.comp").alias("hcomp"))
-
-    def star(self, rest: DataFrame, turn: int) -> DataFrame:
-        """Pairs of each bucket's head of this turn with the members of other components."""
-        pairs = rest.join(self.heads(rest, turn).hint("merge"), "band").where("comp != hcomp AND " + self.fits)
-        return pairs.select(F.greatest("id", "head").alias("a"), F.least("id", "head").alias("b"))
-
-    def remaining(self, rest: DataFrame) -> DataFrame:
-        """All pairs across components whose signatures allow it: members outside the largest component with all others."""
-        top = self.heads(rest, 0).select("band", "hcomp")
-        sized = rest.groupBy("band").agg(F.count(F.lit(1)).alias("m")).join(top.hint("merge"), "band")
-        marked = rest.join(sized.hint("merge"), "band").withColumn("placed", F.col("comp") == F.col("hcomp"))
-        marked, _ = common.saved(marked, "marked")
-        small = marked.where(F.col("m") <= SMALL)
-        other = small.select("band", F.col("id").alias("b"), F.col("n").alias("hn"), F.col("comp").alias("ocomp"), F.col("placed").alias("oplaced"))
-        both = small.where("NOT placed").join(other.hint("merge"), "band").where("comp != ocomp AND (oplaced OR id > b) AND " + self.fits)
-        pairs = self.close(both.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")))
-        large = marked.where(F.col("m") > SMALL)
-        free = large.groupBy("band").agg(F.sum((~F.col("placed")).cast("long")).alias("k"))
-        large = large.join(free.hint("merge"), "band").join(self.sigs.hint("merge"), "id")
-        columns = ["band", "i", "j", "id", "n", "comp", "sig", "asks"]
-        part = lambda n: F.pmod(F.xxhash64("id", "band"), F.ceil(F.col(n) / BLOCK)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(F.col(n) / BLOCK).cast("int") - 1))
-        asking = large.where("NOT placed").withColumns({"i": part("k"), "asks": F.lit(True)}).withColumn("j", every("m")).select(columns)
-        there = large.withColumns({"j": part("m"), "asks": F.lit(False)}).withColumn("i", every("k")).select(columns)
-        return pairs.unionByName(asking.unionByName(there).groupBy("band", "i", "j").applyInArrow(_across(self.percent), "a binary, b binary")).distinct()
-
-    def joined(self, linked: DataFrame | None, more: DataFrame) -> DataFrame:
+        pairs = close
+        for side in ("a", "b"):
+            pairs = pairs.join(every.select(F.col("id").alias(side), F.col("s").alias(f"s{side}")), side, "left")
+        lost = F.when(F.col("sa").isNull() | F.col("sb").isNull(), F.raise_error(F.lit("a class has no set"))).otherwise(F.col("sa"))
+        return self.save(pairs.select("a", "b", lost.alias("sa"), "sb").mapInArrow(_similar(self.percent), "a binary, b binary, ok boolean"), "verified")
+
+    def joined(self, linked: DataFrame, more: DataFrame) -> DataFrame:
         """Components of the links so far and of more links between their members."""
-        if linked is None:
-            return components(more)
         for side in ("a", "b"):
-            more = more.join(linked.select(F.col("node").alias(side), "component").hint("merge"), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+            more = more.join(linked.select(F.col("node").alias(side), "component"), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
         return components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b")))
 
     def run(self) -> DataFrame:
-        banded = self.signed.where("set_key IS NOT NULL").select(F.col("set_key").alias("id"), F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band"))
-        buckets = banded.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("band")
-        members, _ = common.saved(banded.join(buckets.hint("merge"), "band").distinct(), "buckets")
-        self.prepare(members)
-        linked, rest = None, self.placed(members, None)
-        left = self.across(rest)
-        for turn in range(ROUNDS):
-            linked = self.joined(linked, self.verified(self.close(self.star(rest, turn))))
-            rest = self.placed(rest.drop("comp"), linked)
-            was, left = left, self.across(rest)
-            if left <= rest.count() or left > LEFT * was:
+        """doc_id, text_key, n_shingles, root for each row: the rows of a component share their root, which is null without words."""
+        classes = self.buckets()
+        told = self.verified(self.within(classes))
+        refused, linked, tries = told.where("NOT ok"), components(told.where("ok")), 1
+        while (close := self.across(classes, linked, refused, tries)) is not None:
+            told = self.verified(close)
+            if told.isEmpty():
                 break
-        if left:
-            linked = self.joined(linked, self.verified(self.remaining(rest)))
-        thin = self.signed.select("doc_id", "n_shingles", "set_key")
-        roots = thin.join(linked.withColumnRenamed("node", "set_key").hint("merge"), "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component", "set_key").alias("root"))
+            refused, linked, tries = refused.unionByName(told.where("NOT ok")), self.joined(linked, told.where("ok")), 4 * tries
+        thin = self.signed.select("doc_id", "text_key", "n_shingles", "set_key")
+        roots = thin.join(linked.withColumnRenamed("node", "set_key"), "set_key", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "set_key").alias("root"))
         roots, _ = common.saved(roots, "roots")
-        first = roots.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-        out = roots.join(first.hint("merge"), "root", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
-        return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        self.done()
+        return roots
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row: components of 100 * intersection >= percent * union."""
-    return Finder(docs, shingle, percent, id_col, text_col).run()
+    roots = Finder(docs, shingle, percent, id_col, text_col).run()
+    first = roots.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    out = roots.join(first, "root", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component; all columns stay."""
-    gone = near_duplicates(docs, shingle, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """docs with one row of each component; all columns stay."""
+    roots = Finder(docs, shingle, percent, id_col, text_col).run()
+    return common.one_of_each(docs, id_col, text_col, roots.select("doc_id", "text_key", F.col("root").alias("group")))

@@ -294,25 +294,66 @@ def test_minhash(docs, local, nothing):
 
 
 def test_minhash_large_group_of_near_copies(spark, monkeypatch):
-    """Copies that differ among themselves by about the threshold: rounds of heads, then the exact remainder in blocks."""
+    """Copies that differ among themselves by about the threshold, in one block and in many, with and without heads."""
     import random
 
-    monkeypatch.setattr(minhash, "SMALL", 4)
-    monkeypatch.setattr(minhash, "BLOCK", 16)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(60)]
     rows = []
-    for d in range(70):
+    for d in range(90):
         w = list(base)
         for _ in range(rng.choice([2, 3])):
             w[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
         rows.append((d, " ".join(w)))
+    # A near copy without an id; documents linked through one without an id only; rows without words.
+    q = [f"q{i}" for i in range(60)]
+    rows += [(1000, " ".join(q)), (None, " ".join([*q[:59], "zz"])), (None, None), (7000, ""), (8000, None), (9000, "one")]
+    r = [f"r{i}" for i in range(80)]
+    rows += [(2000, " ".join(["a"] * 1 + ["b", "c", "d"] + r[4:])), (None, " ".join(r)), (2001, " ".join([*r[:76], "e", "f", "g", "h"]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for rounds in (0, 8):
-        monkeypatch.setattr(minhash, "ROUNDS", rounds)
+    for block, heads in ((512, 4), (16, 2), (16, 0)):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "HEADS", heads)
         assert rows_of(minhash.near_duplicates(df, shingle=2), "doc_id", "n_shingles", "component_id") == brute_components(rows, 2, 80)
 
 
+def test_minhash_recall_at_the_threshold():
+    """Pairs of similarity 0.8 to 0.82 share a band key and pass the sketches, which never rule out a similar pair."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (9, 90, 1800):
+        for _ in range(150):
+            both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            extra = n // 8
+            x, y = (np.unique(np.concatenate((both, rng.integers(0, 1 << 63, extra, dtype=np.uint64)))) for _ in "xy")
+            assert 100 * len(both) >= 80 * (n + 2 * extra)
+            assert (minhash.band_keys(minhash.signature(x)) == minhash.band_keys(minhash.signature(y))).any()
+            a, b, _ = minhash.likely_pairs([minhash.odd_sketch(x), minhash.odd_sketch(y)], np.array([len(x), len(y)]), np.array([True, True]), np.array([0, 1]), 80)
+            assert sorted((*a, *b)) == [0, 1]
+
+
+def test_forests_leave_no_component_behind():
+    import numpy as np
+
+    x, y = np.array([0, 0, 1, 3, 2]), np.array([1, 2, 2, 4, 0])
+    one = minhash.forests(x, y, np.array([0.1, 0.3, 0.2, 0.9, 0.4]), np.arange(5), 1)
+    assert one.tolist() == [0, 2, 3]
+    assert sorted(minhash.forests(x, y, np.zeros(5), np.arange(5), 4).tolist()) == [0, 1, 2, 3, 4]
+
+
+def test_rows_are_dropped_one_by_one(spark):
+    """Not by id: a unique text stays whatever its id; of repeated rows one stays; clashing names pass through."""
+    rows = [(1, "a"), (None, "a"), (None, "unique"), (2, "b"), (2, "a"), (3, "c"), (3, "c"), (None, None), (5, ""), (None, "d"), (None, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(n) for n in ("row", "text_key", "group", "_i", "stays", "id")})
+    for drop in (exact_dedup.drop_exact_copies, minhash.drop_near_duplicates):
+        left = drop(df)
+        assert left.columns == df.columns and all(r.row == "row" and r.stays == "stays" for r in left.collect())
+        got = rows_of(left, "doc_id", "text")
+        assert [x for x in got if x[1]] == sorted([(1, "a"), (None, "unique"), (2, "b"), (3, "c"), (None, "d")], key=repr)
+        assert len([x for x in got if not x[1]]) == (1 if drop is exact_dedup.drop_exact_copies else 2)
+
+
 def test_components(spark):
     from gazetta.llm.components import components
 
