@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it has kept; all but the last return the
 columns of documents. run() writes each stage's rows to the shared folder and reads them back for the next.
+
+Edge cases: null and empty texts, and texts without a letter, have no language and go in the first stage; rows are dropped
+one by one, so a null or repeated doc_id takes no other row with it, and of rows that repeat doc_id and text one stays;
+very long texts are worked on whole; columns of other names, those that the operators use too, pass through all stages but
+the last; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from gazetta.llm.queries import tokenizer_file
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the labelled rows outside the held-out quarter; documents without a clear language go."""
     model = langid.train(docs.where(~langid.held_out()))
-    return langid.identify(docs, model).where(langid.accepted()).select(*docs.columns)
+    return langid.keep_identified(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
