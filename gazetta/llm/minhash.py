@@ -219,7 +219,8 @@ def _links(percent: int, tries: int):
 
 
 class Finder:
-    """The steps over one table of documents. Tables that are joined are saved first, so Spark knows their size."""
+    """The steps over one table of documents. Joins whose sides grow with it are merge joins at every size: one plan, that
+    small tables show as it is on large ones."""
 
     def __init__(self, docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
         self.spark, self.k, self.percent, self.saved_paths = docs.sparkSession, shingle, percent, []
@@ -241,13 +242,13 @@ class Finder:
         banded = self.signed.where("set_key IS NOT NULL").select(F.col("set_key").alias("id"), F.col("n_shingles").cast("int").alias("n"), F.explode("bands").alias("band"))
         hashed = F.xxhash64("id")
         shared = self.save(banded.groupBy("band").agg(F.min(hashed).alias("lo"), F.max(hashed).alias("hi")).where("lo != hi").select("band"), "shared")
-        members = self.save(banded.join(shared, "band").distinct(), "members")
+        members = self.save(banded.join(shared.hint("merge"), "band").distinct(), "members")
         sizes = members.groupBy("band").agg(F.count(F.lit(1)).cast("int").alias("m"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum(hashed % (1 << 40)).alias("s"))
         sizes = self.save(sizes.groupBy("m", "lo", "hi", "s").agg(F.min("band").alias("band")).select("band", "m"), "sizes")
-        by_class = members.join(sizes, "band").groupBy("id", "n").agg(F.collect_list(F.struct("band", "m")).alias("at"), F.sum("m").alias("popularity"))
+        by_class = members.join(sizes.hint("merge"), "band").groupBy("id", "n").agg(F.collect_list(F.struct("band", "m")).alias("at"), F.sum("m").alias("popularity"))
         wanted = self.save(by_class, "wanted")
-        sketches = self.signed.select(F.col("set_key").alias("id"), "sketch").join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(F.max("sketch").alias("sketch"))
-        return self.save(wanted.join(sketches, "id"), "classes")
+        sketches = self.signed.select(F.col("set_key").alias("id"), "sketch").join(wanted.select("id").hint("merge"), "id", "left_semi").groupBy("id").agg(F.max("sketch").alias("sketch"))
+        return self.save(wanted.join(sketches.hint("merge"), "id"), "classes")
 
     def within(self, classes: DataFrame) -> DataFrame:
         """Likely links within blocks, and with the heads of their buckets."""
@@ -264,7 +265,7 @@ class Finder:
         """Likely links of members outside their bucket's largest component, where not all pairs were seen or one was refused."""
         both = refused.select("a", "b").unionByName(refused.select(F.col("b").alias("a"), F.col("a").alias("b")))
         partners = self.save(both.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("refused")), "refused")
-        placed = classes.join(linked.withColumnsRenamed({"node": "id", "component": "comp"}), "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(partners, "id", "left")
+        placed = classes.join(linked.withColumnsRenamed({"node": "id", "component": "comp"}).hint("merge"), "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(partners, "id", "left")
         placed = self.save(placed, "placed")
         each = placed.select("id", "comp", F.col("refused").isNotNull().alias("open"), F.inline("at"))
         inside = each.groupBy("band", "m", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("open"))
@@ -288,16 +289,16 @@ class Finder:
         for known in self.sets:
             wanted = wanted.join(known.select("id"), "id", "left_anti")
         # One document of each wanted class; null ids count as well.
-        source = self.signed.select(F.col("set_key").alias("id"), "doc_id", "text_key").join(wanted, "id", "left_semi")
+        source = self.signed.select(F.col("set_key").alias("id"), "doc_id", "text_key").join(wanted.hint("merge"), "id", "left_semi")
         source = self.save(source.groupBy("id").agg(F.min(F.struct("doc_id", "text_key")).alias("of")).select("id", "of.*"), "sources")
-        texts = self.rows.alias("t").join(source.alias("s"), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
+        texts = self.rows.alias("t").join(source.alias("s").hint("merge"), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
         self.sets.append(self.save(texts.mapInArrow(_sets(self.k), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
         every = self.sets[0]
         for more in self.sets[1:]:
             every = every.unionByName(more)
         pairs = close
         for side in ("a", "b"):
-            pairs = pairs.join(every.select(F.col("id").alias(side), F.col("s").alias(f"s{side}")), side, "left")
+            pairs = pairs.join(every.select(F.col("id").alias(side), F.col("s").alias(f"s{side}")).hint("merge"), side, "left")
         lost = F.when(F.col("sa").isNull() | F.col("sb").isNull(), F.raise_error(F.lit("a class has no set"))).otherwise(F.col("sa"))
         return self.save(pairs.select("a", "b", lost.alias("sa"), "sb").mapInArrow(_similar(self.percent), "a binary, b binary, ok boolean"), "verified")
 
@@ -318,7 +319,7 @@ class Finder:
                 break
             refused, linked, tries = refused.unionByName(told.where("NOT ok")), self.joined(linked, told.where("ok")), 4 * tries
         thin = self.signed.select("doc_id", "text_key", "n_shingles", "set_key")
-        roots = thin.join(linked.withColumnRenamed("node", "set_key"), "set_key", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "set_key").alias("root"))
+        roots = thin.join(linked.withColumnRenamed("node", "set_key").hint("merge"), "set_key", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "set_key").alias("root"))
         roots, _ = common.saved(roots, "roots")
         self.done()
         return roots
