@@ -1,15 +1,20 @@
 """Main text of web pages from tag ratios.
 
 A page streams through the standard library's HTML parser. Its events make *lines*: the text between block-level tags,
-with the number of tags seen since the line before. Each line's ratio of characters to tags is smoothed with a Gaussian
-along the page, and a threshold (two-means clustering of the smoothed ratios) tells content lines from the others.
-Content lines vote, with their characters, for the article or main element they stand in. The winning regions are given whole, in page
-order, so that short paragraphs and headings inside an article are kept; a page without such an element gives what lies
-between its first and its last content line (and as many lines around as the smoothing blurs). What is boilerplate by its tag, role, class or id never is given: menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and comments, inside a region or not.
+with the number of tags seen since the line before. A line's score is its characters outside links for each tag; what an
+element's tag, role, class or id says is only a feature of it: MARKED times the score inside an element that is marked
+as boilerplate, nothing at all if the mark stands inside the article or main element that holds the line (an advert or a
+notice in an article). Scores are smoothed with a Gaussian along the page, and a threshold (two-means clustering of the
+smoothed scores) tells content lines from the others.
+Content lines choose what is given: article and main elements that hold one, and such elements around them, are given
+whole but for the marked elements in them, so that headings and short paragraphs are kept; those inside marked elements
+only if no other has a content line. A page without such an element gives what lies between its first and its last
+content line (and as many lines around as the smoothing blurs), marked elements aside; where everything is marked, marks
+say nothing. No region is left out for its size.
 
 Edge cases: a null or empty page, or one without content, gives the empty string; tags that are never closed and bare
-text give what a lenient parser sees; equal pages give equal texts; other columns are not looked at.
+text give what a lenient parser sees; equal pages give equal texts, repeated rows a row each; very long pages are worked on
+whole; an empty table gives no rows; other columns are not looked at, keep names those that are passed on.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ import math
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,35 +47,51 @@ NAMES = frozenset(
     "aside widget related recommended share sharing social newsletter subscribe subscription signup login popup modal overlay cookie cookies consent gdpr notice "
     "comment comments commentlist disqus respond replies reply pagination pager toolbar masthead skip".split()
 )
+#: Those that mark an article element itself (others, like a theme's "with-sidebar", say nothing about it).
+OWN_NAMES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies respond related recommended teaser".split())
 #: Closing one of these is implied when a block of its kind opens.
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
 _SPACES = re.compile(r"\s+")
-SIGMA, RADIUS = 1.0, 2
+SIGMA, RADIUS, MARKED = 1.0, 2, 0.25
 _WEIGHTS = [math.exp(-(i * i) / (2 * SIGMA * SIGMA)) for i in range(-RADIUS, RADIUS + 1)]
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    linked: int  # characters inside links
+    region: int  # number of the innermost article or main element; 0: none
+    inside: bool  # whether an element inside the region (or, without one, any element) is marked as boilerplate
+
+
+class State(NamedTuple):
+    tag: str = ""
+    hidden: bool = False
+    inside: bool = False
+    region: int = 0
+    link: bool = False
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, boilerplate, region) for each line of a page."""
+    """Collects the lines of a page, and of each region the one around it and whether it is marked."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int]] = []
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, hidden, boilerplate, region
+        self.lines: list[Line] = []
+        self.open: list[State] = [State()]
         self.text: list[str] = []
-        self.tags = 0
-        self.regions = 1  # 0: what stands in no region of its own
-
-    def state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
+        self.tags = self.linked = 0
+        self.around, self.marked = [-1], [False]
 
     def line(self) -> None:
         if self.text:
             text = _SPACES.sub(" ", "".join(self.text)).strip()
             self.text.clear()
             if text:
-                _, boiler, region = self.state()
-                self.lines.append((text, self.tags, boiler, region))
+                now = self.open[-1]
+                self.lines.append(Line(text, self.tags, min(self.linked, len(text)), now.region, now.inside))
                 self.tags = 0
+            self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -83,43 +105,45 @@ class Lines(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        hidden, boiler, region = self.state()
-        if tag in REGION and not boiler:
-            region, self.regions = self.regions, self.regions + 1
-        inside = any(t in REGION for t, *_ in self.open)
+        up = self.open[-1]
         a = {k: (v or "").lower() for k, v in attrs} if attrs else {}
-        boiler = boiler or tag in BOILERPLATE or (tag == "header" and not inside) or self.names_boilerplate(tag, a)
-        hidden = hidden or tag in HIDDEN or "hidden" in a or "display:none" in a.get("style", "").replace(" ", "")
-        self.open.append((tag, hidden, boiler, region))
+        hidden = up.hidden or tag in HIDDEN or "hidden" in a or "display:none" in a.get("style", "").replace(" ", "")
+        if tag in REGION:
+            self.around.append(up.region)
+            self.marked.append(up.inside or self.marked[up.region] or bool(self.names(a) & OWN_NAMES))
+            self.open.append(State(tag, hidden, False, len(self.around) - 1, up.link))
+            return
+        marked = tag in BOILERPLATE or (tag == "header" and not up.region) or (tag not in ("html", "body") and (a.get("role") in ROLES or bool(self.names(a) & NAMES)))
+        self.open.append(State(tag, hidden, up.inside or marked, up.region, up.link or tag == "a"))
 
     @staticmethod
-    def names_boilerplate(tag: str, a: dict[str, str]) -> bool:
-        if not a or tag in ("html", "body", "article", "main"):
-            return False
-        return a.get("role") in ROLES or any(w in NAMES for k in ("class", "id") if k in a for w in re.split(r"[^a-z]+", a[k]))
+    def names(a: dict[str, str]) -> set[str]:
+        return {w for k in ("class", "id") if k in a for w in re.split(r"[^a-z]+", a[k])}
 
     def close_implied(self, tag: str, until: frozenset | set) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
                 del self.open[i:]
                 return
-            if self.open[i][0] in until:
+            if self.open[i].tag in until:
                 return
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCK:
             self.line()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                if tag not in BLOCK and any(t in BLOCK for t, *_ in self.open[i + 1 :]):
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                if tag not in BLOCK and any(x.tag in BLOCK for x in self.open[i + 1 :]):
                     return  # a stray inline end tag closes no block
                 del self.open[i:]
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self.state()[0]:
+        if not self.open[-1].hidden:
             self.text.append(data)
+            if self.open[-1].link:
+                self.linked += len(data)
 
     def finish(self) -> None:
         self.close()
@@ -153,34 +177,40 @@ def threshold(values: list[float]) -> float:
     return (lo + hi) / 2
 
 
+def line_scores(page: Lines) -> list[float]:
+    """Characters outside links for each tag, less where marks speak against a line."""
+    out = []
+    for x in page.lines:
+        weight = (0.0 if x.inside else 1.0) * (MARKED if page.marked[x.region] else 1.0) if x.region else (MARKED if x.inside else 1.0)
+        out.append(weight * (len(x.text) - x.linked) / max(1, x.tags))
+    return out
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.finish()
-    lines = parser.lines
-    body = [x for x in lines if not x[2]]
-    if not body:
+    page = Lines()
+    page.feed(html)
+    page.finish()
+    lines = page.lines
+    if not lines:
         return ""
-    scores = smoothed([len(text) / max(1, tags) for text, tags, *_ in lines])
+    scores = smoothed(line_scores(page))
     cut = threshold(scores)
-    content = [not boiler and s >= cut for (_, _, boiler, _), s in zip(lines, scores, strict=True)]
-    if parser.regions > 1:
-        votes: dict[int, int] = {}
-        for counts_only_content in (True, False):
-            for (text, _, boiler, region), good in zip(lines, content, strict=True):
-                if region and not boiler and (good or not counts_only_content):
-                    votes[region] = votes.get(region, 0) + len(text)
-            if votes:
-                break
-        if votes:
-            most = max(votes.values())
-            return "\n".join(text for text, _, _, region in body if 3 * votes.get(region, 0) >= most and region)
-    # Without such an element: everything from the first content line to the last, boilerplate apart.
-    at = [i for i, good in enumerate(content) if good]
+    if any(x.region and not x.inside for x in lines):
+        at = [i for i, x in enumerate(lines) if x.region and not x.inside]
+        chosen = {lines[i].region for i in at if scores[i] >= cut and scores[i] > 0} or {lines[max(at, key=scores.__getitem__)].region}
+        chosen = {r for r in chosen if not page.marked[r]} or chosen
+        for r in list(chosen):
+            while (r := page.around[r]) > 0:
+                chosen.add(r)
+        return "\n".join(x.text for x in lines if x.region in chosen and not x.inside)
+    plain = [not x.inside for x in lines]
+    if not any(plain):
+        plain = [True] * len(lines)
+    at = [i for i, s in enumerate(scores) if plain[i] and s >= cut]
     first, last = (max(0, at[0] - RADIUS), at[-1] + RADIUS) if at else (0, len(lines) - 1)
-    return "\n".join(text for text, _, boiler, _ in lines[first : last + 1] if not boiler)
+    return "\n".join(x.text for x, p in zip(lines[first : last + 1], plain[first : last + 1], strict=True) if p)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -88,7 +88,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 #: Text contract of op2: runs of space and \t..\r become one space.
 _NORM = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')"
-_U = "(CAST(('0x' || substr(md5(CAST(coalesce(CAST(doc_id AS VARCHAR), '') AS VARCHAR) || ':' || s), 1, 13)) AS BIGINT))"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,7 +10,7 @@ only see what is in the shard, so equal strings must meet in one:
    the smallest doc_id that has each, to the shard that the minimiser's fingerprint names.
 3. A shard joins its distinct pieces to one string, sorts its suffixes by induction, and computes, from the permuted
    common prefixes, which windows are equal and the smallest doc_id of each group. Each block gets the answers for its
-   pieces, told by a 64-bit hash of the piece.
+   pieces, told by a 64-bit hash of the piece (a shard compares the bytes too, and fails on two pieces of one hash).
 4. The block walks its documents again and removes what the answers cover.
 
 A passage that a third of all documents share costs one entry a block, not one a document, in 1 to 3. Texts move twice,
@@ -260,6 +260,8 @@ def _answers(key: tuple, group: pa.Table) -> pa.Table:
         for h, n, i in zip(e["hash"].tolist(), e["size"].tolist(), e["id"].tolist(), strict=True):
             if h in index:
                 k = index[h]
+                if parts[k] != body[at : at + n]:
+                    raise ValueError("different pieces share a hash")
                 ids[k] = min(ids[k], i)
             else:
                 index[h] = len(parts)

@@ -8,11 +8,13 @@ which is the row separator, so a file's bytes are exactly its records, one after
 Reading: every archive is parsed by Content-Length as a stream, which gives a *capture run* of each archive, locally
 sorted by (URL key, timestamp, page_id), and packed into blocks by range of the URL key. The external index merge takes,
 for each range, the runs' sorted blocks through a k-way loser tree: the ranges in order are one global capture history.
-The ranges come from a sample of keys (bounded by a parameter); every record is indexed.
+The ranges come from a sample of keys that grows with the number of captures; every record is indexed. A task of the merge
+holds a range, some ROWS_PER_PART captures without their payloads.
 
-Edge cases: a null page is an empty payload; a null url has the empty key; repeated rows with one page_id: of equal
-payloads the first is the response for all others of the group; an empty table gives no archive and no rows; very long
-pages are single records; other columns are not looked at.
+Edge cases: a null page is an empty payload; a null url has the empty key; repeated rows with one page_id and payload are
+all responses, or all revisits of the same response; rows without a page_id are responses (no id can name them); an empty
+table gives no archive and no rows; very long pages are single records, and archives hold fewer records the longer the
+longest page is; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ from pyspark.sql import functions as F
 
 from gazetta.llm import common
 
-#: Pages of an archive at most, and keys that are looked at for the ranges of the merge.
-RECORDS, KEY_SAMPLE = 1000, 20_000
+#: Pages and payload bytes of an archive at most (a longer page is an archive by itself).
+RECORDS, ARCHIVE_BYTES = 1000, 1 << 29
+#: Keys that are looked at for the ranges of the merge: so many at least, and so many for each range.
+KEY_SAMPLE, KEYS_PER_PART = 20_000, 8
 #: Captures that a task of the merge holds, on average.
 ROWS_PER_PART = 20_000
 #: Captures have no time of their own in the table; page_id seconds after this stand for it (fixed value).
@@ -171,7 +175,9 @@ def write_archives(pages: DataFrame, path: str, revisit_from: int = 0) -> None:
     # Only digests that occur twice are looked up again; partial minima come before the shuffle, Spark splits hot digests.
     first = known.where(F.col("size") >= revisit_from).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     joined = known.join(first, "digest", "left").withColumn("refers_to", F.when(F.col("page_id") != F.col("first_id"), F.col("first_id")))
-    joined.mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+    longest = known.agg(F.max("size")).first()[0] or 0
+    each = max(1, min(RECORDS, ARCHIVE_BYTES // max(1, longest)))
+    joined.mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", each).text(path)
 
 
 # Columns of the capture index.
@@ -232,9 +238,9 @@ def capture_index(spark: SparkSession, path: str, rows_per_part: int = ROWS_PER_
     runs, _ = common.saved(files.mapInArrow(_captures, _COLUMNS), "captures")
     n = runs.count()
     # Bounds of the ranges, from a sample by hash; (key, time, id) splits one URL's long history too.
-    sampled = runs.where(F.pmod(F.xxhash64("page_id", "offset"), F.lit(max(1, n // KEY_SAMPLE))) == 0).select("url_key", "timestamp", F.coalesce("page_id", F.lit(0)).alias("page_id"))
-    keys = sorted(map(tuple, sampled.collect())) if n > rows_per_part else []
     parts = max(1, -(-n // rows_per_part))
+    sampled = runs.where(F.pmod(F.xxhash64("page_id", "offset"), F.lit(max(1, n // max(KEY_SAMPLE, KEYS_PER_PART * parts)))) == 0).select("url_key", "timestamp", F.coalesce("page_id", F.lit(0)).alias("page_id"))
+    keys = sorted(map(tuple, sampled.collect())) if n > rows_per_part else []
     bounds = [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
     return runs.mapInArrow(_parts(bounds), _COLUMNS + ", part int").groupBy("part").applyInArrow(_merge, _COLUMNS + ", part int, rank long")
 

@@ -207,6 +207,13 @@ def test_language_id(spark, docs, nothing):
     assert sum(r.lang == r.lang_pred for r in got) >= 0.97 * len(got)
     odd = {r.doc_id: r for r in langid.identify(docs, model).collect()}
     assert (odd[10_001].lang_pred, odd[10_002].lang_pred, odd[10_001].score) == ("und", "und", 0.0)
+    short = langid.identify(big, model).where(langid.held_out() & (F.length("text") <= 60) & F.col("lang").isNotNull()).collect()
+    assert sum(r.lang == r.lang_pred for r in short) >= 0.5 * len(short)
+    clash = docs.withColumns({"score": F.lit("s"), "lang_pred": F.lit("p"), "row": F.lit("r"), "_text": F.lit("t")})
+    kept = langid.keep_identified(clash, model)
+    assert kept.columns == clash.columns and {(r.score, r.lang_pred, r.row, r._text) for r in kept.collect()} == {("s", "p", "r", "t")}
+    assert rows_of(kept, "doc_id") == rows_of(langid.identify(docs, model).where(langid.accepted()), "doc_id")
+    assert "score" in langid.identify(clash, model).columns
     digits = spark.createDataFrame([(1, "12 ²³ !?")], "doc_id long, text string")
     assert langid.identify(digits, model).first().lang_pred == "und"
     assert all(0 <= r.score <= 1 for r in odd.values())
@@ -222,12 +229,60 @@ def test_language_id(spark, docs, nothing):
         ("<nav>menu</nav><article><h1>T &amp; x</h1><p><b>One\n two<br><p>three<script>var a='</p>'</script><aside>no</aside></article><footer>no</footer>", "T & x\nOne two\nthree"),
         ("<article><p>short</p><div class='ad'>buy</div><form><p>no</p></form><p>a much longer paragraph of text that counts</p><section id='comments'><p>hi</p></section></article>", "short\na much longer paragraph of text that counts"),
         ("plain text &lt;only", "plain text <only"),
+        ('<div class="layout with-sidebar"><nav><a href="/">home</a></nav><article class="has-sidebar"><h1>T</h1><p>A long enough paragraph of text, it goes on.</p></article><div class="sidebar">side</div></div>', "T\nA long enough paragraph of text, it goes on."),
+        ("<main><p>A lead before.</p><article><p>" + "long text " * 40 + "</p></article></main>", "A lead before.\n" + "long text " * 39 + "long text"),
+        ("<article><p>" + "long text " * 40 + "</p></article><section id='comments'><article class='comment'><p>" + "nice post " * 20 + "</p></article></section>", "long text " * 39 + "long text"),
+        ("<div class='footer'><p>all of it is marked, so marks say nothing</p></div>", "all of it is marked, so marks say nothing"),
     ],
 )
 def test_html(html, text):
     assert html_extract.main_text(html) == text
 
 
+TEASERS = "<article><h1>T</h1><p>" + "Words that make an article. " * 9 + "</p><p>A short one.</p></article>" + "<article><a href='/x'>Read more of this</a></article>" * 5
+
+
+def test_html_scores_choose_the_content(monkeypatch):
+    """Teasers are articles without a mark: only their scores tell them from the article."""
+    want = "T\n" + ("Words that make an article. " * 9).strip() + "\nA short one."
+    assert html_extract.main_text(TEASERS) == want
+    monkeypatch.setattr(html_extract, "line_scores", lambda page: [1.0] * len(page.lines))
+    assert html_extract.main_text(TEASERS) != want
+
+
+def test_html_scores_by_hand():
+    page = html_extract.Lines()
+    page.feed("<nav><a>home</a></nav><article><p>ten <b>chars</b></p><div class='ad'>buy</div></article>")
+    page.finish()
+    # A tag that ends a line counts to it: nav, a, /a, /nav; article, p, b, /b, /p; div, /div.
+    assert [(x.text, x.tags, x.linked, x.region, x.inside) for x in page.lines] == [("home", 4, 4, 0, True), ("ten chars", 5, 0, 1, False), ("buy", 2, 0, 1, True)]
+    assert html_extract.line_scores(page) == [0.0, 9 / 5, 0.0]
+    import math
+
+    w = [math.exp(-d * d / 2) for d in range(3)]
+    got = html_extract.smoothed([0.0, 3.0, 0.0])
+    assert got == pytest.approx([3 * w[1] / (w[0] + w[1] + w[2]), 3 * w[0] / (w[0] + 2 * w[1]), 3 * w[1] / (w[0] + w[1] + w[2])])
+    assert html_extract.threshold([1.0, 2.0, 10.0, 12.0]) == 6.25
+
+
+def test_html_of_labelled_pages(spark):
+    """The article's blocks, cut out by a pattern that knows how these pages are made."""
+    import html as standard
+
+    pages = [(r.page_id, r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    got = {r.page_id: r.text for r in html_extract.extract_text(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()}
+    for i, h in pages:
+        inner = re.search(r"<article>(.*)</article>", h, re.S)[1]
+        blocks = [re.sub(r"\s+", " ", standard.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", " ")))).strip() for x in re.split(r"</?(?:p|h1)>", re.sub(r"(?s)<script>.*?</script>|<!--.*?-->", "", inner))]
+        assert got[i] == "\n".join(filter(None, blocks))
+
+
+def test_html_odd_rows(spark):
+    long = "<article><p>" + "word " * 200_000 + "</p></article>"
+    df = spark.createDataFrame([(1, "u", long, "x"), (1, "u", "<p>a", "x"), (1, "u", "<p>a", "x"), (None, None, None, None)], "page_id long, url string, html string, text string")
+    assert sorted((r.page_id or 0, r.n_chars) for r in html_extract.extract_text(df).collect()) == [(0, 0), (1, 1), (1, 1), (1, 999_999)]
+
+
 def test_html_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = html_extract.extract_text(pages).collect()
@@ -443,6 +498,67 @@ def test_decontamination_of_short_items(spark):
     assert rows_of(got, "doc_id", "item_id") == sorted([(i, n) for i, (n, _) in enumerate(near)], key=repr)
 
 
+def test_bit_sampling_recall():
+    """Without the grams: windows with as many edits as are allowed share a key with the item; most others don't."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(8)
+    vocabulary = [rng.randrange(1 << 60) for _ in range(2000)]
+    for n in (5, 16, 40, 200):
+        items, near, far = [], [], []
+        for _ in range(200):
+            w = rng.choices(vocabulary, k=n)
+            items.append(w)
+            e = list(w)
+            for _ in range(decontam.allowed(n)):
+                p = rng.randrange(len(e))
+                e[p : p + 1] = rng.choice([[rng.randrange(1 << 60)], [], [e[p], rng.randrange(1 << 60)]])
+            near.append((e + rng.choices(vocabulary, k=n))[:n])
+            far.append(rng.choices(vocabulary, k=n))
+        a, b, c = (decontam.keys(np.array(x, np.uint64)) for x in (items, near, far))
+        assert (a == b).any(axis=1).mean() >= 0.9 and (a == c).any(axis=1).mean() <= 0.3
+
+
+def test_decontamination_by_brute_force(spark):
+    """Row by row against the edit distance of every item to every passage, clean rows and repeated rows and items included."""
+    import random
+
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([3, 5, 9, 16])))) for i in range(25)]
+    items += [items[3], (99, None), (98, "...")]
+    rows = []
+    for d in range(120):
+        w = rng.choices(words, k=rng.randrange(60))
+        if d % 3:
+            t = rng.choice(items[:25])[1].split()
+            for _ in range(rng.randrange(5)):
+                p = rng.randrange(len(t))
+                t[p : p + 1] = rng.choice([["zq"], [], [t[p], "yy"]])
+                t = t or ["zq"]
+            w[5:5] = t
+        rows.append((d, " ".join(w)))
+    rows += [rows[1], (7, "clean row of a shared id"), (None, rows[1][1])]
+
+    def nearest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            now = [row[0] + 1]
+            for j, y in enumerate(b):
+                now.append(min(row[j] + (x != y), row[j + 1] + 1, now[j] + 1))
+            row = now
+        return min(row)
+
+    cut = lambda t: re.findall(r"[a-z0-9]+", (t or "").lower())
+    want = sorted([(d, i) for d, t in rows for i, b in items if cut(b) and nearest(cut(b), cut(t)) <= decontam.allowed(len(cut(b)))], key=repr)
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert rows_of(decontam.contaminated(docs, bench), "doc_id", "item_id") == want and 40 < len(want)
+    hit = {(d, t) for d, t in rows for i, b in items if cut(b) and nearest(cut(b), cut(t)) <= decontam.allowed(len(cut(b)))}
+    assert rows_of(decontam.decontaminate(docs, bench), "doc_id", "text") == sorted([x for x in rows if x not in hit], key=repr)
+
+
 def test_edit_distance():
     assert decontam.edit_distance([1, 2, 3, 4], [9, 1, 2, 7, 4, 9], 1) == (1, 1, 5)
     assert decontam.edit_distance([1, 2, 3], [4, 5], 1) is None
