@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from gazetta.shipping import ship
 
-__all__ = ["SPACE", "fresh_path", "one_of_each", "remove", "saved", "shared_dir", "ship", "table", "text_or_empty", "without_rows"]
+__all__ = ["SPACE", "fresh_path", "one_of_each", "remove", "saved", "shared_dir", "ship", "sized", "table", "text_or_empty", "without_rows"]
 
+#: Rows of a table of keys (some 50 bytes each in memory) up to which it is broadcast; beyond it joins are merge joins.
+BROADCAST_ROWS = 1_000_000
 #: White space of the text contracts: space and the five control characters.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -50,6 +52,11 @@ def remove(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def sized(keys: DataFrame) -> DataFrame:
+    """A saved table of keys, to be broadcast if its counted rows are few enough, else to be merged."""
+    return keys.hint("broadcast" if keys.count() <= BROADCAST_ROWS else "merge")
+
+
 def one_of_each(docs: DataFrame, id_col: str, text_col: str, grouped: DataFrame) -> DataFrame:
     """docs with one row of each group: the one of the smallest id (null last), then text key; all columns stay.
 
@@ -61,7 +68,7 @@ def one_of_each(docs: DataFrame, id_col: str, text_col: str, grouped: DataFrame)
     told = grouped.join(first, "group").groupBy("doc_id", "text_key").agg(F.max(key == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("n"))
     told, _ = saved(told.where("NOT stays OR n > 1"), "dropped")
     rest = without_rows(docs, id_col, text_col, told)
-    again = told.where("stays")
+    again, _ = saved(told.where("stays"), "repeated")
     if again.isEmpty():
         return rest
     repeated = _matching(docs, id_col, text_col, again, "left_semi")
@@ -72,7 +79,7 @@ def _matching(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame, how:
     """row (all columns of docs, whatever their names), doc_id, text_key of the rows with, or without, a key in keys."""
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"))
     keys = keys.select(F.col("doc_id").alias("_i"), F.col("text_key").alias("_t"))
-    return rows.join(keys, (F.col("text_key") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_i")), how)
+    return rows.join(sized(keys), (F.col("text_key") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_i")), how)
 
 
 def without_rows(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> DataFrame:

@@ -219,8 +219,9 @@ def _links(percent: int, tries: int):
 
 
 class Finder:
-    """The steps over one table of documents. Joins whose sides grow with it are merge joins at every size: one plan, that
-    small tables show as it is on large ones."""
+    """The steps over one table of documents. Joins of tables that grow with it are merge joins at every size: one plan, that
+    small tables show as it is on large ones. Only what fetches the texts of wanted classes is broadcast if it is counted to
+    be small (common.sized), so that the texts stay where they are; else they are shuffled once."""
 
     def __init__(self, docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str):
         self.spark, self.k, self.percent, self.saved_paths = docs.sparkSession, shingle, percent, []
@@ -291,8 +292,9 @@ class Finder:
         # One document of each wanted class; null ids count as well.
         source = self.signed.select(F.col("set_key").alias("id"), "doc_id", "text_key").join(wanted.hint("merge"), "id", "left_semi")
         source = self.save(source.groupBy("id").agg(F.min(F.struct("doc_id", "text_key")).alias("of")).select("id", "of.*"), "sources")
-        texts = self.rows.alias("t").join(source.alias("s").hint("merge"), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
-        self.sets.append(self.save(texts.mapInArrow(_sets(self.k), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
+        texts = self.rows.alias("t").join(common.sized(source.alias("s")), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
+        if not self.sets or not source.isEmpty():
+            self.sets.append(self.save(texts.mapInArrow(_sets(self.k), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
         every = self.sets[0]
         for more in self.sets[1:]:
             every = every.unionByName(more)
