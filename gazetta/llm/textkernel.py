@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: A slice of a column that is worked on at once has so many bytes, or one text.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: White space and all other ASCII characters that are neither letters nor digits.
