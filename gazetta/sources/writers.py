@@ -21,8 +21,8 @@ def write_matches(matches: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_result(result: DataFrame, path: str, mode: str = "error") -> None:
-    """The best answers as CSV with semicolons."""
-    spaced(result.select(*RESULT)).write.mode(mode).option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    """The best answers as CSV with semicolons; dealt anew into files of a sensible size, so that none is empty."""
+    spaced(result.select(*RESULT)).hint("rebalance").write.mode(mode).option("header", True).option("sep", ";").option("escape", '"').csv(path)
 
 
 def write_gazetteer(gazetteer: DataFrame, path: str, mode: str = "error") -> None:
