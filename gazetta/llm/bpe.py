@@ -7,7 +7,7 @@ linear in the piece. Two tokens are compatible if merging their joined bytes by
 memoised. A sequence whose neighbours are all compatible is the one that the rank merges produce, so ids are exact.
 
 Edge cases: a null or empty text has no tokens; very long pieces (runs of spaces or letters) take linear time; equal
-rows are encoded alike; other columns are not looked at. Caches are bounded and start afresh when full.
+rows are encoded alike; other columns are not looked at. Caches are bounded and start afresh when full and with each task.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gazetta.llm import common
 
 #: Bounds of the memo tables of a worker: pieces, and pairs of tokens.
-PIECES, PAIRS = 600_000, 1_000_000
+PIECES, PAIRS = 200_000, 300_000
 #: Longer pieces aren't kept in the memo table.
 PIECE_CHARS = 200
 
@@ -84,6 +84,11 @@ class Pieces(dict):
             self[piece] = out
         return out
 
+    def forget(self) -> None:
+        """Empty the memo tables."""
+        self.clear()
+        self.pairs.clear()
+
     def parts(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the last merge joins into this one; None for a byte or if merges don't reach it."""
         if (known := self.split.get(token, self)) is self:
@@ -241,6 +246,7 @@ def _columns(source, pattern: str, keep_ids: bool):
             added = [pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())] + ([pa.array(ids, pa.list_(pa.int64()))] if keep_ids else [])
             kept = [i for i, name in enumerate(b.schema.names) if name != "_text"]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in kept] + added, [b.schema.names[i] for i in kept] + ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
+        pieces.forget()
 
     return run
 
@@ -259,4 +265,4 @@ def encode_texts(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str =
     rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "_text")
     schema = f"{kinds}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * keep_ids
-    return rows.mapInArrow(_columns(source, pattern, keep_ids), schema)
+    return rows.mapInArrow(common.tidy(_columns(source, pattern, keep_ids)), schema)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.shipping import ship
 
-__all__ = ["SPACE", "fresh_path", "one_of_each", "remove", "saved", "shared_dir", "ship", "sized", "table", "text_or_empty", "without_rows"]
+__all__ = ["SPACE", "fresh_path", "one_of_each", "remove", "saved", "shared_dir", "ship", "sized", "table", "text_or_empty", "tidy", "without_rows"]
 
 #: Rows of a table of keys (some 50 bytes each in memory) up to which it is broadcast; beyond it joins are merge joins.
 BROADCAST_ROWS = 1_000_000
@@ -87,5 +90,19 @@ def without_rows(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -
     return _matching(docs, id_col, text_col, keys, "left_anti").select("row.*")
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow, with its freed memory given back to the system as a task ends: workers live on for later stages."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return tidied
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))

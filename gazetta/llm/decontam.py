@@ -243,7 +243,7 @@ def _hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_co
 
     def look(block: tuple, last: bool) -> None:
         held = spark.sparkContext.broadcast(block)
-        found = rows.mapInArrow(_matches(held, to_arrow_type(id_type)), schema)
+        found = rows.mapInArrow(common.tidy(_matches(held, to_arrow_type(id_type))), schema)
         if parts or not last:
             found = common.saved(found, "hits")[0]
             held.destroy()

@@ -109,7 +109,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
     names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
     rows = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("_text"))
     schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(_predict(spark.sparkContext.broadcast(dictionaries)), schema).select("row.*", "lang_pred", "score")
+    return rows.mapInArrow(common.tidy(_predict(spark.sparkContext.broadcast(dictionaries))), schema).select("row.*", "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text") -> DataFrame:

@@ -227,7 +227,7 @@ class Finder:
         self.spark, self.k, self.percent, self.saved_paths = docs.sparkSession, shingle, percent, []
         common.ship(self.spark)
         self.rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("_text"))
-        self.signed = self.save(self.rows.mapInArrow(_sign(shingle), "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, sketch binary"), "signed")
+        self.signed = self.save(self.rows.mapInArrow(common.tidy(_sign(shingle)), "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, sketch binary"), "signed")
         self.sets: list[DataFrame] = []
 
     def save(self, df: DataFrame, label: str) -> DataFrame:
@@ -294,7 +294,7 @@ class Finder:
         source = self.save(source.groupBy("id").agg(F.min(F.struct("doc_id", "text_key")).alias("of")).select("id", "of.*"), "sources")
         texts = self.rows.alias("t").join(common.sized(source.alias("s")), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
         if not self.sets or not source.isEmpty():
-            self.sets.append(self.save(texts.mapInArrow(_sets(self.k), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
+            self.sets.append(self.save(texts.mapInArrow(common.tidy(_sets(self.k)), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
         every = self.sets[0]
         for more in self.sets[1:]:
             every = every.unionByName(more)
@@ -302,7 +302,7 @@ class Finder:
         for side in ("a", "b"):
             pairs = pairs.join(every.select(F.col("id").alias(side), F.col("s").alias(f"s{side}")).hint("merge"), side, "left")
         lost = F.when(F.col("sa").isNull() | F.col("sb").isNull(), F.raise_error(F.lit("a class has no set"))).otherwise(F.col("sa"))
-        return self.save(pairs.select("a", "b", lost.alias("sa"), "sb").mapInArrow(_similar(self.percent), "a binary, b binary, ok boolean"), "verified")
+        return self.save(pairs.select("a", "b", lost.alias("sa"), "sb").mapInArrow(common.tidy(_similar(self.percent)), "a binary, b binary, ok boolean"), "verified")
 
     def joined(self, linked: DataFrame, more: DataFrame) -> DataFrame:
         """Components of the links so far and of more links between their members."""
