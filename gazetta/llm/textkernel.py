@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,6 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -76,19 +75,36 @@ def words(raw: np.ndarray, offs: np.ndarray, separators: np.ndarray = _SPACE) ->
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word with A-Z lower-cased; a slice of the bytes at a time."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
-        lo, hi = starts[i], ends[j - 1]
-        up, down = powers(int(hi - lo))
-        c = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[_LOWER[raw[lo:hi]]] * up[:-1], dtype=np.uint64)))
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix((c[e] - c[s]) * down[s] + (e - s).astype(np.uint64))
-        i = j
-    return out
+#: Words of more bytes than this are told by blake2b, the others by mixing in eight bytes after eight.
+LONG_WORD = 64
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+_NEXT = np.uint64(0x9FB21C651E98DF25)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word, with A-Z lower-cased if asked for.
+
+    Each eight bytes are mixed into all bits of the hash before the next ones come (a polynomial of the bytes modulo 2**64
+    would give whole families of long words one hash).
+    """
+    size = (ends - starts).astype(np.int64)
+    h = mix(size.astype(np.uint64) + _BASE)
+    if not len(size):
+        return h
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[:-8] = _LOWER[raw] if lower else raw
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    at, left, s = np.arange(len(size)), size, starts
+    short = size <= LONG_WORD
+    if not short.all():
+        at, left, s = at[short], size[short], starts[short]
+        for i in np.flatnonzero(~short).tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(padded[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    while len(at):
+        h[at] = mix((h[at] ^ (eight[s] & _LOW_BYTES[np.minimum(left, 8)])) * _NEXT + _BASE)
+        more = left > 8
+        at, left, s = at[more], left[more] - 8, s[more] + 8
+    return h
 
 
 def shingle_hashes(w: np.ndarray, k: int) -> np.ndarray:
