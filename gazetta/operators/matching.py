@@ -3,33 +3,62 @@
 A spelling matches between two word boundaries (a change between [0-9A-Za-z_] and anything else). An address is cut once
 into its runs of word and of other characters; every sequence of runs, up to the longest spelling, is a piece, and pieces
 are joined by hash with the dictionary; no pattern is ever tried. Of one area's overlapping matches, the leftmost and
-then the longest stays. The matcher is case-sensitive; match_areas(case_sensitive=False) looks in lower-cased addresses
-for lower-cased spellings.
+then the longest stays.
+
+A dictionary that is small enough is broadcast. Beyond that its spellings are a *trie*: a table of all their beginnings,
+run by run. Pieces then grow by a run at a time, and only those that some spelling goes on from are dealt again.
+
+The matcher is case-sensitive unless spellings() is told otherwise; then letters are folded one by one (folded()), so that
+places in the folded text are places in the address, whose own text and positions are reported.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+from functools import cache, reduce
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions.text import let, running_total
 from gazetta.plans.gazetteer import KINDS
 
-#: Rows up to which a dictionary or gazetteer is broadcast (some 100 bytes each); beyond it Spark joins as it sees fit.
-BROADCAST_ROWS = 1_000_000
-#: Rows up to which such a table is fetched once and put into later plans as rows, in place of the plan that makes them.
+#: Rows up to which a dictionary or gazetteer is fetched once, put into later plans as rows and broadcast (some 100 bytes
+#: each); beyond it Spark joins as it sees fit.
 LOCAL_ROWS = 100_000
 _RUNS = "[0-9A-Za-z_]+|[^0-9A-Za-z_]+"
+#: Letters outside ASCII that fold to a letter of ASCII; a piece that holds one may have more runs than its spelling.
+_INTO_ASCII = "[\u017f\u212a]"
 
 
 class Spellings(NamedTuple):
     """A dictionary (kind, code, name, level, variant) with what the matcher has to know of it before it plans."""
 
     table: DataFrame
-    rows: int
     most_runs: int
+    longest: int
+    local: bool  # few enough to be broadcast
+    case_sensitive: bool = True
+
+
+@cache
+def _fold() -> tuple[str, str]:
+    """Letters and what they fold to, one character each: upper case and variant forms to the common lower case."""
+    pairs = {}
+    for c in map(chr, range(sys.maxunicode + 1)):
+        to = up.lower() if len(up := c.upper()) == 1 and len(up.lower()) == 1 else c.lower()
+        if to != c and len(to) == 1:
+            pairs[c] = to
+    return "".join(pairs), "".join(pairs.values())
+
+
+def folded(text: Column) -> Column:
+    """The text with every letter folded to one character, so lengths and positions stay (unlike lower-casing, by which
+    U+0130 becomes two characters)."""
+    return F.translate(text, *_fold())
 
 
 def runs(text: Column) -> Column:
@@ -37,26 +66,27 @@ def runs(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_RUNS), F.lit(0))
 
 
-def small_table(df: DataFrame) -> tuple[DataFrame, int]:
-    """df, with a hint to broadcast it if its counted rows are few enough, and that count; made once, not in each plan."""
+def local_rows(df: DataFrame) -> pa.Table | None:
+    """The rows of df if they are few, else None; one job."""
     head = df.limit(LOCAL_ROWS + 1).toArrow()
-    if head.num_rows <= LOCAL_ROWS:
-        rows = df.sparkSession.createDataFrame(head, df.schema)
-        return F.broadcast(rows), head.num_rows
-    df = df.persist()
-    n = df.count()
-    return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
+    return head if head.num_rows <= LOCAL_ROWS else None
 
 
-def spellings(dictionary: DataFrame, case_sensitive: bool = True) -> Spellings:
-    """A dictionary made ready once, so that no later plan makes the spellings again."""
-    table, n = small_table(dictionary if case_sensitive else dictionary.withColumn("variant", F.lower("variant")))
-    most = table.agg(F.max(F.size(runs(F.col("variant"))))).first()[0] if n else 0
-    return Spellings(table, n, most or 0)
+def spellings(dictionary: DataFrame, case_sensitive: bool = True, fetched: pa.Table | None = None) -> Spellings:
+    """A dictionary made ready once, so that no later plan makes the spellings again. fetched: its rows, where known."""
+    if not case_sensitive and fetched is None:
+        dictionary = dictionary.withColumn("variant", folded(F.col("variant"))).distinct()
+    rows = fetched if fetched is not None else local_rows(dictionary)
+    if rows is not None:
+        words = rows.column("variant").to_pylist()
+        table = dictionary.sparkSession.createDataFrame(rows, dictionary.schema)
+        return Spellings(table, max((len(re.findall(_RUNS, w)) for w in words), default=0), max(map(len, words), default=0), True, case_sensitive)
+    most = dictionary.agg(F.max(F.size(runs(F.col("variant")))), F.max(F.length("variant"))).first()
+    return Spellings(dictionary, *most, False, case_sensitive)
 
 
-def pieces(addresses: DataFrame, most_runs: int) -> DataFrame:
-    """idx, addr, start_idx, piece for each piece of an address between two boundaries, of most_runs runs at most.
+def windows(addresses: DataFrame, known: Spellings) -> DataFrame:
+    """idx, addr, start_idx, w (runs, as many as a spelling may have) for each place between two boundaries.
 
     The runs are taken from the address once, outside every lambda; what is exploded are short windows of them.
     """
@@ -65,15 +95,56 @@ def pieces(addresses: DataFrame, most_runs: int) -> DataFrame:
     # The ends of a text are boundaries only beside a word character.
     opens = F.when(is_word(F.get("runs", F.lit(0))), 0).otherwise(1)
     closes = F.size("runs") - F.when(is_word(F.element_at("runs", -1)), 0).otherwise(1)
+    most = F.lit(known.most_runs)
+    if not known.case_sensitive:
+        most = F.when(F.col("addr").rlike(_INTO_ASCII), F.lit(known.longest)).otherwise(most)
 
-    def windows(before: Column) -> Column:
-        at = lambda i: F.struct(F.get(before, i).alias("s"), F.slice("runs", i + 1, F.least(F.lit(most_runs), F.col("z") - i)).alias("w"))
+    def from_each(before: Column) -> Column:
+        at = lambda i: F.struct(F.get(before, i).alias("s"), F.slice("runs", i + 1, F.least(F.col("most"), F.col("z") - i)).alias("w"))
         return F.when(F.col("a") < F.col("z"), F.transform(F.sequence("a", F.col("z") - 1), at))
 
-    bounded = cut.withColumns({"a": opens, "z": closes, "sizes": F.transform("runs", F.length)})
-    each = bounded.select("idx", "addr", F.inline(let(running_total(F.col("sizes")), windows)))
+    bounded = cut.withColumns({"a": opens, "z": closes, "most": most, "sizes": F.transform("runs", F.length)})
+    return bounded.select("idx", "addr", F.inline(let(running_total(F.col("sizes")), from_each)).alias("start_idx", "w"))
+
+
+def _spelled(piece: Column, known: Spellings) -> Column:
+    return piece if known.case_sensitive else folded(piece)
+
+
+def hits_by_pieces(addresses: DataFrame, known: Spellings) -> DataFrame:
+    """idx, addr, start_idx and the columns of the dictionary for each piece that is a spelling; every piece is looked up."""
+    each = windows(addresses, known)
     grown = F.transform(F.sequence(F.lit(1), F.size("w")), lambda j: F.array_join(F.slice("w", F.lit(1), j), ""))
-    return each.select("idx", "addr", F.col("s").alias("start_idx"), F.explode(grown).alias("piece"))
+    pieces = each.select("idx", "addr", "start_idx", F.explode(grown).alias("piece")).withColumn("variant", _spelled(F.col("piece"), known))
+    return pieces.drop("piece").join(F.broadcast(known.table) if known.local else known.table, "variant")
+
+
+def trie(known: Spellings) -> DataFrame:
+    """prefix, ends (whether it is a spelling), goes_on (whether some spelling is longer) for all beginnings of spellings."""
+    cut = known.table.select("variant").distinct().select(runs(F.col("variant")).alias("w"))
+    begun = cut.select(F.size("w").alias("n"), F.posexplode(F.transform("w", lambda x, i: F.array_join(F.slice("w", F.lit(1), i + 1), ""))).alias("i", "prefix"))
+    return begun.groupBy("prefix").agg(F.max(F.col("i") + 1 == F.col("n")).alias("ends"), F.max(F.col("i") + 1 < F.col("n")).alias("goes_on"))
+
+
+def hits_by_trie(addresses: DataFrame, known: Spellings) -> DataFrame:
+    """The same by the trie: at each step only the pieces that some spelling goes on from grow by a run.
+
+    Folded letters can make one run of several; texts that hold such a letter are looked up by pieces.
+    """
+    beginnings, found = trie(known), []
+    plain = addresses if known.case_sensitive else addresses.where(~F.col("addr").rlike(_INTO_ASCII))
+    state = windows(plain, known).withColumn("prefix", _spelled(F.get("w", F.lit(0)), known))
+    for step in range(1, known.most_runs + 1):
+        met = state.join(beginnings, "prefix")
+        found.append(met.where("ends").select("idx", "addr", "start_idx", F.col("prefix").alias("variant")))
+        going = met.where(F.col("goes_on") & (F.size("w") > step))
+        state = going.select("idx", "addr", "start_idx", "w", F.concat("prefix", _spelled(F.get("w", F.lit(step)), known)).alias("prefix"))
+    if not found:
+        return hits_by_pieces(addresses, known)
+    hits = reduce(DataFrame.unionByName, found).join(known.table, "variant")
+    if known.case_sensitive:
+        return hits
+    return hits.unionByName(hits_by_pieces(addresses.where(F.col("addr").rlike(_INTO_ASCII)), known))
 
 
 def _leftmost_longest(spans: Column) -> Column:
@@ -89,18 +160,19 @@ def _leftmost_longest(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, step, lambda a: a["kept"])
 
 
-def match_areas(addresses: DataFrame, dictionary: DataFrame | Spellings, case_sensitive: bool = True) -> DataFrame:
-    """idx, addr, kind, code, name, level, start_idx, end_idx (inclusive): the one shuffle is of the addresses, by idx.
+def match_areas(addresses: DataFrame, dictionary: DataFrame | Spellings, case_sensitive: bool = True, by_trie: bool | None = None) -> DataFrame:
+    """idx, addr, kind, code, name, level, start_idx, end_idx (inclusive; both are places in addr as it is given).
 
-    A dictionary that is used for several tables is prepared once by spellings().
+    A dictionary that is used for several tables is prepared once by spellings(). by_trie: how to look it up (by default
+    by the trie if it is too large for a broadcast). With a broadcast the one shuffle is of the addresses, by idx.
     """
     known = dictionary if isinstance(dictionary, Spellings) else spellings(dictionary, case_sensitive)
-    spelled = known.table.withColumnRenamed("variant", "piece")
-    rows = addresses.select("idx", "addr") if case_sensitive else addresses.select("idx", F.lower("addr").alias("addr"))
     # Addresses are dealt by idx before they are cut into pieces, which makes many tasks of a small file; with a fixed
     # number of partitions, as their bytes don't tell the work. What is found is in place for all that follows.
+    rows = addresses.select("idx", "addr")
     rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "idx")
-    hits = pieces(rows, known.most_runs).join(spelled, "piece").select("idx", "addr", "kind", "code", "name", "level", "start_idx", F.length("piece").alias("n"))
+    look = hits_by_trie if (not known.local if by_trie is None else by_trie) else hits_by_pieces
+    hits = look(rows, known).select("idx", "addr", "kind", "code", "name", "level", "start_idx", F.length("variant").alias("n"))
     by_area = hits.groupBy("idx", "addr", "kind", "code", "name", "level")
     kept = by_area.agg(_leftmost_longest(F.collect_set(F.struct(F.col("start_idx").alias("s"), (-F.col("n")).alias("m")))).alias("kept"))
     return kept.select("idx", "addr", "kind", "code", "name", "level", F.inline("kept").alias("s", "e")).select(
@@ -114,9 +186,9 @@ def match_table(matches: DataFrame, kind: str) -> DataFrame:
 
 
 def gathered(matches: DataFrame) -> DataFrame:
-    """idx, and arrays ward, district, province of (addr, code, name, s, e): what the scoring strategies share.
+    """idx, and arrays ward, district, province of (code, name, s, e, addr), in order: what the scoring strategies share.
 
-    Already dealt by idx, so nothing moves; and as all strategies read the same plan, its exchange runs once.
+    Matches of match_areas() are dealt by idx already, so nothing moves.
     """
-    item = F.struct("addr", "code", "name", F.col("start_idx").alias("s"), F.col("end_idx").alias("e"))
-    return matches.groupBy("idx").agg(*(F.collect_set(F.when(F.col("kind") == k, item)).alias(k) for k in KINDS))
+    item = F.struct("code", "name", F.col("start_idx").alias("s"), F.col("end_idx").alias("e"), "addr")
+    return matches.groupBy("idx").agg(*(F.sort_array(F.collect_set(F.when(F.col("kind") == k, item))).alias(k) for k in KINDS))

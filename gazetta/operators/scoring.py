@@ -1,22 +1,23 @@
 """Scoring strategies: combinations of matched areas that lie in order and belong together in the gazetteer.
 
-A strategy is a row of STRATEGIES; one function runs them all. The matches of an address are one row (gathered()), so a
-strategy explodes its first area, looks it up in the broadcast gazetteer - which names the areas it belongs to - and
-then only pairs it with matches of just these areas: no product of an address's matches is ever made.
+A strategy is a row of STRATEGIES. The matches of an address are one row (gathered()), and one expansion runs all of them:
+each match is looked up once in the gazetteer, which names the areas it belongs to; matches of just these areas that come
+later are found by binary search in the address's matches (which are in order), so the work follows what is found, not
+the square of an address's matches, and the matching stands once in the plan.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.operators.matching import small_table
-from gazetta.plans.gazetteer import COLUMNS
+from gazetta.functions.text import let
+from gazetta.plans.gazetteer import KINDS
 
-RESULT = ["idx", "addr", "ward_code", "ward", "district_code", "district", "province_code", "province", "score"]
+AREAS = ["ward_code", "ward", "district_code", "district", "province_code", "province"]
+RESULT = ["idx", "addr", *AREAS, "score"]
 
 
 class Strategy(NamedTuple):
@@ -36,56 +37,100 @@ STRATEGIES = [
     Strategy("d", ("district",), 0.2),
     Strategy("w", ("ward",), 0.02),
 ]
+_SCORED = "array<struct<strategy:int,score:double>>"
 
 
-def _score(s: Strategy) -> Column:
-    length = reduce(Column.__add__, [F.col(f"_{a}_e") - F.col(f"_{a}_s") + 1 for a in s.areas]).cast("double")
-    if s.gaps:
-        for a, b in zip(s.areas, s.areas[1:], strict=False):
-            length = length - (F.col(f"_{b}_s") - F.col(f"_{a}_e")).cast("double") * F.lit(0.5)
-    return length * F.lit(s.factor)
+def _length(match: Column) -> Column:
+    return match["e"] - match["s"] + 1
 
 
-def _unnested(rows: DataFrame, matches: Column, area: str) -> DataFrame:
-    """A row for each match, its fields as columns of their own."""
-    return rows.select("*", F.inline(matches).alias(*(f"_{area}_{f}" for f in ("addr", "code", "name", "s", "e"))))
+def _extended(s: Strategy, total: Column, before: Column, match: Column) -> Column:
+    """The sum of lengths, less gaps, of a chain of matches with one more."""
+    longer = total + _length(match).cast("double")
+    return longer - (match["s"] - before["e"]).cast("double") * F.lit(0.5) if s.gaps else longer
 
 
-def _fitting(area: str, before: str) -> Column:
-    """The matches of an area that the gazetteer row names and that come after those before."""
-    return F.filter(F.col(f"_all_{area}"), lambda m: (m["code"] == F.col(f"{area}_code")) & (m["name"] == F.col(area)) & (F.col(f"_{before}_e") < m["s"]))
+def _place(matches: Column, key: Column) -> Column:
+    """How many of the matches, which are in order, are not above key (code, name, s): by binary search."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(matches).alias("hi"))
 
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["lo"] + acc["hi"], 1)
+        x = F.get(matches, middle)
+        above = (acc["lo"] < acc["hi"]) & (F.struct(x["code"].alias("code"), x["name"].alias("name"), x["s"].alias("s")) <= key)
+        return F.struct(F.when(above, middle + 1).otherwise(acc["lo"]).alias("lo"), F.when(above, acc["hi"]).otherwise(middle).alias("hi"))
 
-def score(gathered: DataFrame, gazetteer: DataFrame, s: Strategy) -> DataFrame:
-    """The RESULT columns of one strategy. gazetteer: distinct rows; matches are distinct already, so are the rows."""
-    first, *rest = s.areas
-    rows = gathered.select("idx", *(F.col(a).alias(f"_all_{a}") for a in s.areas))
-    rows = _unnested(rows, F.col(f"_all_{first}"), first)
-    rows = rows.join(gazetteer, (F.col(f"_{first}_code") == F.col(f"{first}_code")) & (F.col(f"_{first}_name") == F.col(first)))
-    for before, area in zip(s.areas, rest, strict=False):
-        rows = _unnested(rows, _fitting(area, before), area)
-    return rows.select("idx", F.col(f"_{first}_addr").alias("addr"), *RESULT[2:-1], _score(s).alias("score"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(matches)))), start, halve, lambda acc: acc["lo"])
 
 
-def first_wards(gazetteer: DataFrame, kind: str) -> DataFrame:
-    """For each area of a kind the gazetteer row that wins the tie rule: enough for the best answer, without fan-out."""
-    order = Window.partitionBy(f"{kind}_code", kind).orderBy("ward_code", "district_code", "province_code", "ward", "district", "province")
-    return gazetteer.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
+def fitting(matches: Column, area: str, end: Column) -> Column:
+    """The matches of the area that the gazetteer row names that begin behind `end`, as they stand in order."""
+    key = lambda s: F.struct(F.col(f"{area}_code").alias("code"), F.col(area).alias("name"), s.alias("s"))
+    return let(_place(matches, key(end)), lambda lo: F.slice(matches, lo + 1, _place(matches, key(F.lit(2**63 - 1))) - lo))
 
 
-def all_scores(gathered: DataFrame, gazetteer: DataFrame, fan_out: bool = True) -> DataFrame:
-    """UNION ALL of the strategies, with the strategy's number. Without fan-out, only rows that can be the best remain."""
-    full = gazetteer.select(*[c for c in COLUMNS if not c.endswith("_level")]).distinct()
-    small, _ = small_table(full)
-    out = []
-    for i, s in enumerate(STRATEGIES):
-        # An area of a higher kind has rows for all its wards; the tie rule would take the first of them.
-        areas = small if fan_out or s.areas[0] == "ward" or s.name == "dp" else small_table(first_wards(small, s.areas[0]))[0]
-        out.append(score(gathered, areas, s).withColumn("strategy", F.lit(i)))
-    return reduce(DataFrame.unionByName, out)
+def _scored(s: Strategy, first: Column) -> Column:
+    """An array of (strategy, score) of all chains of a strategy that begin with the match `first`."""
+    told = lambda total: F.struct(F.lit(STRATEGIES.index(s)).alias("strategy"), (total * F.lit(s.factor)).alias("score"))
+    total = _length(first).cast("double")
+    if len(s.areas) == 1:
+        return F.array(told(total)).cast(_SCORED)
+    second = lambda area: fitting(F.col(f"_all_{area}"), area, first["e"])
+    if len(s.areas) == 2:
+        return F.transform(second(s.areas[1]), lambda m: told(_extended(s, total, first, m))).cast(_SCORED)
+
+    def third(m: Column) -> Column:
+        return F.transform(fitting(F.col(f"_all_{s.areas[2]}"), s.areas[2], m["e"]), lambda x: told(_extended(s, _extended(s, total, first, m), m, x)))
+
+    return F.flatten(F.transform(second(s.areas[1]), third)).cast(_SCORED)
+
+
+def lookup(gazetteer: DataFrame, fan_out: bool = True) -> DataFrame:
+    """kind, code, name and the gazetteer's rows of each area: an area of a higher kind has those of all its wards.
+
+    Without fan-out, of the rows that name the same districts and provinces only the one that wins the tie rule remains.
+    """
+    rows = gazetteer.select(*AREAS).distinct()
+    area = lambda k: F.struct(F.lit(k).alias("kind"), F.col(f"{k}_code").alias("code"), F.col(k).alias("name"))
+    every = rows.select("*", F.inline(F.array(*map(area, KINDS))))
+    if fan_out:
+        return every
+    named = ["kind", "code", "name", *(F.when(F.col("kind").isin(KINDS[: KINDS.index(c.removesuffix("_code"))]), F.col(c)).alias(f"_{c}") for c in AREAS[2:])]
+    order = F.struct("ward_code", "district_code", "province_code", "ward", "district", "province")
+    return every.groupBy(*named).agg(F.min(order).alias("g")).select("kind", "code", "name", *(F.col(f"g.{c}").alias(c) for c in AREAS))
+
+
+def all_scores(gathered: DataFrame, areas: DataFrame, strategies: list[Strategy] = STRATEGIES, best_of_each: bool = False) -> DataFrame:
+    """The RESULT columns and the strategy's number for every chain of matches, of all strategies.
+
+    areas: of lookup(). best_of_each: only the best chain for each match and gazetteer row.
+    """
+    kinds = [k for k in KINDS if any(s.areas[0] == k for s in strategies)]
+    of = lambda kind: F.transform(kind, lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("m")))
+    firsts = F.flatten(F.array(*map(of, kinds)))
+    rows = gathered.select("idx", *(F.col(k).alias(f"_all_{k}") for k in KINDS[1:]), F.inline(firsts).alias("_kind", "_m"))
+    rows = rows.select("*", F.col("_m.code").alias("_code"), F.col("_m.name").alias("_name"))
+    rows = rows.join(areas, (F.col("_kind") == F.col("kind")) & (F.col("_code") == F.col("code")) & (F.col("_name") == F.col("name")))
+    none = F.array().cast(_SCORED)
+    of_kind = lambda k: F.concat(none, *(_scored(s, F.col("_m")) for s in strategies if s.areas[0] == k))
+    scored = none
+    for k in kinds:
+        scored = F.when(F.col("_kind") == k, of_kind(k)).otherwise(scored)
+    if best_of_each:
+        top = F.array_min(F.transform(scored, lambda x: F.struct((-x["score"]).alias("below"), x["strategy"].alias("strategy"))))
+        rows = rows.select("idx", F.col("_m.addr").alias("addr"), *AREAS, top.alias("_t")).where("_t IS NOT NULL")
+        return rows.select("idx", "addr", *AREAS, (-F.col("_t.below")).alias("score"), F.col("_t.strategy").alias("strategy"))
+    return rows.select("idx", F.col("_m.addr").alias("addr"), *AREAS, F.inline(scored).alias("strategy", "score")).select(*RESULT, "strategy")
+
+
+def score(gathered: DataFrame, areas: DataFrame, s: Strategy) -> DataFrame:
+    """The RESULT columns of one strategy."""
+    return all_scores(gathered, areas, [s]).drop("strategy")
 
 
 def best(scores: DataFrame) -> DataFrame:
-    """One row for each idx: highest score, then earliest strategy, then smallest codes."""
-    order = Window.partitionBy("idx").orderBy(F.col("score").desc(), "strategy", "ward_code", "district_code", "province_code", "addr", "ward", "district", "province")
-    return scores.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
+    """One row for each idx: highest score, then earliest strategy, then smallest codes. The minimum of an ordered struct, so
+    partial results can be merged."""
+    order = F.struct((-F.col("score")).alias("below"), "strategy", "ward_code", "district_code", "province_code", "addr", "ward", "district", "province")
+    top = scores.groupBy("idx").agg(F.min(order).alias("b"))
+    return top.select("idx", *(F.col(f"b.{c}").alias(c) for c in RESULT[1:-1]), (-F.col("b.below")).alias("score"), F.col("b.strategy").alias("strategy"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions.text import DISTRICT_LEVELS, PROVINCE_LEVELS, WARD_LEVELS, level_of, remove_accents, strip_prefix
-from gazetta.functions.variants import area_variants
+from gazetta.functions.variants import area_variants, checked
 
 KINDS = ["ward", "district", "province"]
 COLUMNS = [f"{k}{x}" for k in KINDS for x in ("_code", "", "_level")]
@@ -45,17 +43,28 @@ def distinct_areas(gazetteer: DataFrame, kind: str) -> DataFrame:
     return gazetteer.select(F.col(f"{kind}_code").alias("code"), F.col(kind).alias("name"), F.col(f"{kind}_level").alias("level")).distinct()
 
 
-def variants(gazetteer: DataFrame, kind: str) -> DataFrame:
-    """code, name, level, variants: spellings are unaccented; only wards go without abbreviations."""
-    areas = distinct_areas(gazetteer, kind).where("name IS NOT NULL")
+def areas(gazetteer: DataFrame) -> DataFrame:
+    """kind, code, name, level of all areas, from one pass over the gazetteer."""
+    one = lambda k: F.struct(F.lit(k).alias("kind"), F.col(f"{k}_code").alias("code"), F.col(k).alias("name"), F.col(f"{k}_level").alias("level"))
+    return gazetteer.select(F.inline(F.array(*map(one, KINDS)))).distinct()
+
+
+def _spelled(areas: DataFrame) -> DataFrame:
+    """kind, code, name, level, variants: spellings are unaccented; only wards go without abbreviations."""
+    known = areas.where("name IS NOT NULL").withColumn("name", checked(F.col("name")))
     # What a generator gives is computed once, however often the spellings below name it, and stays out of their lambdas.
-    plain = areas.select("*", F.inline(F.array(F.struct(remove_accents("name").alias("_name"), remove_accents("level").alias("_level")))))
-    return plain.withColumn("variants", area_variants(F.col("_name"), F.col("_level"), shorten=kind != "ward")).drop("_name", "_level")
+    plain = known.select("*", F.inline(F.array(F.struct(remove_accents("name").alias("_name"), remove_accents("level").alias("_level")))))
+    return plain.withColumn("variants", area_variants(F.col("_name"), F.col("_level"), shorten=F.col("kind") != "ward")).drop("_name", "_level")
+
+
+def variants(gazetteer: DataFrame, kind: str) -> DataFrame:
+    """code, name, level, variants of the areas of a kind."""
+    return _spelled(areas(gazetteer).where(F.col("kind") == kind)).drop("kind")
 
 
 def dictionary(gazetteer: DataFrame) -> DataFrame:
-    """kind, code, name, level, variant: a row for each spelling of each area."""
-    return reduce(DataFrame.unionByName, [variants(gazetteer, k).select(F.lit(k).alias("kind"), "code", "name", "level", F.explode("variants").alias("variant")) for k in KINDS])
+    """kind, code, name, level, variant: a row for each spelling of each area. A name with an empty word is an error."""
+    return _spelled(areas(gazetteer)).select("kind", "code", "name", "level", F.explode("variants").alias("variant"))
 
 
 def variant_counts(gazetteer: DataFrame) -> DataFrame:

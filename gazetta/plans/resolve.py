@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,22 +13,56 @@ from gazetta.operators import matching, scoring
 from gazetta.plans import gazetteer as gz
 
 
-def resolve(addresses: DataFrame, gazetteer: DataFrame, spellings: matching.Spellings | None = None) -> DataFrame:
+class Known(NamedTuple):
+    """A gazetteer made ready: its spellings, and its rows, broadcast if they are few."""
+
+    spellings: matching.Spellings
+    gazetteer: DataFrame
+
+
+def prepare(gazetteer: DataFrame) -> Known:
+    """One job fetches spellings and rows; a gazetteer that is too large for that stays a plan."""
+    rows, spelled = gazetteer.select(*scoring.AREAS).distinct(), gz.dictionary(gazetteer)
+    head = matching.local_rows(spelled.withColumn("spelled", F.lit(True)).unionByName(rows.withColumn("spelled", F.lit(False)), allowMissingColumns=True))
+    if head is None:
+        return Known(matching.spellings(spelled), rows)
+    told = head.column("spelled")
+    d = head.filter(told).select(spelled.columns)
+    g = head.filter(pc.invert(told)).select(rows.columns)
+    return Known(matching.spellings(spelled, fetched=d), F.broadcast(gazetteer.sparkSession.createDataFrame(g, rows.schema)))
+
+
+def _areas(known: Known, fan_out: bool) -> DataFrame:
+    found = scoring.lookup(known.gazetteer, fan_out)
+    return F.broadcast(found) if known.spellings.local else found
+
+
+def all_scores(matches: DataFrame, known: Known) -> DataFrame:
+    """Every score of every strategy for matches as match_areas() gives them."""
+    return scoring.all_scores(matching.gathered(matches), _areas(known, True))
+
+
+def best_scores(matches: DataFrame, known: Known) -> DataFrame:
+    return scoring.best(scoring.all_scores(matching.gathered(matches), _areas(known, False), best_of_each=True))
+
+
+def resolve(addresses: DataFrame, gazetteer: DataFrame | Known) -> DataFrame:
     """The best answer for each idx of addresses (idx, addr), with the number of the strategy that gave it.
 
-    spellings: the gazetteer's, prepared, where several tables are resolved by one gazetteer.
+    gazetteer: prepared (prepare()) where several tables are resolved by one.
 
     An address without any match has no row (see unresolved()); rows that share an idx are mixed, and one is kept.
     """
-    matches = matching.match_areas(normalize_strings(addresses.select("idx", "addr")), spellings or gz.dictionary(gazetteer))
-    return scoring.best(scoring.all_scores(matching.gathered(matches), gazetteer, fan_out=False))
+    known = gazetteer if isinstance(gazetteer, Known) else prepare(gazetteer)
+    return best_scores(matching.match_areas(normalize_strings(addresses.select("idx", "addr")), known.spellings), known)
 
 
-def resolve_matches(wards: DataFrame, districts: DataFrame, provinces: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """The same from stored match tables (as match_table() makes them)."""
+def resolve_matches(wards: DataFrame, districts: DataFrame, provinces: DataFrame, gazetteer: DataFrame | Known) -> DataFrame:
+    """The same from stored match tables (as match_table() makes them); see also sources.store."""
+    known = gazetteer if isinstance(gazetteer, Known) else prepare(gazetteer)
     tables = [(wards, "ward"), (districts, "district"), (provinces, "province")]
     a, b, c = (t.select("idx", "addr", F.lit(k).alias("kind"), F.col(f"{k}_code").alias("code"), F.col(k).alias("name"), "start_idx", "end_idx") for t, k in tables)
-    return scoring.best(scoring.all_scores(matching.gathered(a.unionByName(b).unionByName(c)), gazetteer, fan_out=False))
+    return best_scores(a.unionByName(b).unionByName(c), known)
 
 
 def unresolved(addresses: DataFrame, resolved: DataFrame) -> DataFrame:

@@ -93,8 +93,9 @@ def _variants(kind: str):
 
 def _score(s: scoring.Strategy):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        areas = gazetteer(spark, sf_dir).distinct()
-        return scoring.score(matching.gathered(_matches(spark, sf_dir)), matching.small_table(areas)[0], s)
+        known = resolve.prepare(gazetteer(spark, sf_dir))
+        matches = matching.match_areas(addresses(spark, sf_dir), known.spellings)
+        return scoring.score(matching.gathered(matches), F.broadcast(scoring.lookup(known.gazetteer)), s)
 
     return query
 
@@ -126,7 +127,8 @@ def _remove_accents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.all_scores(matching.gathered(_matches(spark, sf_dir)), gazetteer(spark, sf_dir))
+    known = resolve.prepare(gazetteer(spark, sf_dir))
+    return resolve.all_scores(matching.match_areas(addresses(spark, sf_dir), known.spellings), known)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from gazetta.operators.matching import spellings
-from gazetta.plans.gazetteer import dictionary
-from gazetta.plans.resolve import resolve
+from gazetta.plans.resolve import prepare, resolve
 
 
 def resolve_stream(addresses: DataFrame, gazetteer: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -16,9 +14,9 @@ def resolve_stream(addresses: DataFrame, gazetteer: DataFrame, path: str, checkp
     A batch that is run again after a failure overwrites its own folder, so answers are written exactly once.
     """
 
-    known = spellings(dictionary(gazetteer))  # once for all micro-batches
+    known = prepare(gazetteer)  # once for all micro-batches
 
     def one(batch: DataFrame, number: int) -> None:
-        resolve(batch, gazetteer, known).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        resolve(batch, known).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return addresses.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -44,7 +44,7 @@ def test_variant_counts(spark, name, level, shorten, names, total):
 def test_scores_of_the_golden_address(spark, gazetteer):
     addresses = spark.createDataFrame([(1, "ben nghe, q1, hcm"), (2, "hcm, q1, ben nghe")], "idx long, addr string")
     matches = matching.match_areas(addresses, gz.dictionary(gazetteer))
-    got = {(r.idx, r.strategy): r.score for r in scoring.all_scores(matching.gathered(matches), gazetteer).collect()}
+    got = {(r.idx, r.strategy): r.score for r in resolve.all_scores(matches, resolve.prepare(gazetteer)).collect()}
     names = [s.name for s in scoring.STRATEGIES]
     want = {"wdp": 30.0, "wd": 12.75, "wp": 16.5, "dp": 7.0, "p": 1.5, "d": 0.4, "w": 0.16}
     assert {names[k[1]]: v for k, v in got.items() if k[0] == 1} == pytest.approx(want)
