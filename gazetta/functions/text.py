@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Callable
 from functools import cache
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from gazetta.shipping import ship
 
 # Unit words of the administrative levels, as they stand before a name, in order of preference.
 WARD_LEVELS = ["phường", "xã", "thị trấn"]
@@ -49,9 +48,9 @@ def normalize_strings(df: DataFrame) -> DataFrame:
     return df.select([normalized(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
-def strip_prefix(c: Column, levels: list[str]) -> Column:
-    """Without one leading unit word and its space, in any case of letters (Unicode: Java's (?i) alone is ASCII)."""
-    return F.regexp_replace(c, "(?iu)^(?:" + "|".join(f"{x} " for x in levels) + ")", "")
+def strip_prefix(c: Column, levels: list[str], ignore_case: bool = True) -> Column:
+    """Without one leading unit word and its space, in any case of letters (Unicode: Java's (?i) alone is ASCII) or as given."""
+    return F.regexp_replace(c, ("(?iu)" if ignore_case else "") + "^(?:" + "|".join(f"{x} " for x in levels) + ")", "")
 
 
 def level_of(c: Column, levels: list[str]) -> Column:
@@ -68,42 +67,67 @@ def first_match(c: Column, pattern: str, ignore_case: bool = True) -> Column:
 
 
 def _unaccented(s: str) -> str:
-    if s.isascii():
-        return s
     return "".join(x for x in unicodedata.normalize("NFKD", s.replace("đ", "d").replace("Đ", "D")) if not unicodedata.combining(x))
 
 
-#: Ranges in which accented letters are told one by one (Latin, Greek, Cyrillic), and ranges without any.
-_TOLD = [(0x80, 0x52F), (0x1E00, 0x1FFF)]
-_PLAIN = [(0x00, 0x7F), (0x2010, 0x2010), (0x2012, 0x2016), (0x2018, 0x2023), (0x4E00, 0x9FFF), (0x1F300, 0x1FAFF)]
+#: The Hangul syllables are laid out by rule: 28 for each of 21 vowels, for each of 19 leading consonants.
+_HANGUL, _VOWELS, _TAILS = 0xAC00, 21, 28
 
 
-@cache
-def _letters() -> tuple[str, str, str]:
-    """The characters that lose their accents as one character, what they become, and a pattern of all not told here."""
-    of = {chr(c): _unaccented(chr(c)) for lo, hi in _TOLD for c in range(lo, hi + 1) if not 0x300 <= c < 0x370}
-    pairs = {c: plain for c, plain in of.items() if c != plain and len(plain) == 1}
-    longer = "".join(c for c, plain in of.items() if len(plain) != 1)
-    ranges = "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in _TOLD + _PLAIN)
-    return "".join(pairs), "".join(pairs.values()), f"[^{ranges}]|[{longer}]"
+class _Table(NamedTuple):
+    single: str  # characters that become one other character, and then those that go
+    to: str
+    several: str  # characters that become several
+    becoming: tuple[str, ...]
+    pattern: str  # one of several or a Hangul syllable, or a stretch of others
 
 
 @cache
-def _in_python():
-    return F.pandas_udf(lambda s: s.map(_unaccented, na_action="ignore"), StringType())
+def _table() -> _Table:
+    """What each character becomes, from the rule of _unaccented(), but for Hangul syllables."""
+    one, gone, more = {}, [], {}
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)]):
+        if _HANGUL <= ord(c) <= 0xD7A3:
+            continue
+        plain = _unaccented(c)
+        if plain == "":
+            gone.append(c)
+        elif len(plain) > 1:
+            more[c] = plain
+        elif plain != c:
+            one[c] = plain
+    codes, ranges = sorted([*map(ord, more), *range(_HANGUL, 0xD7A4)]), []
+    for c in codes:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    several = "".join(f"\\x{{{lo:x}}}-\\x{{{hi:x}}}" for lo, hi in ranges)
+    return _Table("".join([*one, *gone]), "".join(one.values()), "".join(more), tuple(more.values()), f"[{several}]|[^{several}]+")
+
+
+def _decomposed(c: Column) -> Column:
+    """What one character of those that become several becomes; anything else as it is."""
+    t = _table()
+    code = F.ascii(c) - _HANGUL
+    letter = lambda first, i: F.substring(F.lit("".join(map(chr, range(first, first + 30)))), i.cast("int") + 1, F.lit(1))
+    tail = F.when(code % _TAILS > 0, letter(0x11A7, code % _TAILS)).otherwise(F.lit(""))
+    syllable = F.concat(letter(0x1100, F.floor(code / (_VOWELS * _TAILS))), letter(0x1161, F.floor(code / _TAILS) % _VOWELS), tail)
+    at = F.when(F.length(c) == 1, F.instr(F.lit(t.several), c)).otherwise(F.lit(0))
+    # The values as one constant, which is split once.
+    values = F.split(F.lit("\x01".join(t.becoming)), "\x01")
+    return F.when((F.length(c) == 1) & code.between(0, 0xD7A3 - _HANGUL), syllable).when(at > 0, F.get(values, at - 1)).otherwise(c)
 
 
 def remove_accents(c: Column | str) -> Column:
-    """đ to d, then NFKD without combining characters.
+    """đ to d, then NFKD without combining characters, by Spark's own functions.
 
-    Letters with accents are mapped and combining marks (U+0300 to U+036F) removed by Spark itself; only texts with
-    characters of other scripts (some of which decompose: full-width forms, Hangul, ...) go through Python, the others as
-    nulls.
+    What becomes one character (or none) is mapped by one translation; texts with characters that become several, such as
+    ligatures, are cut at these, Hangul syllables are taken apart by their layout.
     """
-    if session := SparkSession.getActiveSession():
-        ship(session)
     c = F.col(c) if isinstance(c, str) else c
-    accented, plain, other = _letters()
-    odd = c.rlike(other)
-    native = F.regexp_replace(F.translate(c, accented, plain), "[\\x{300}-\\x{36f}]+", "")
-    return F.when(odd, _in_python()(F.when(odd, c))).otherwise(native)
+    t = _table()
+    several = t.pattern.split("|")[0]
+    cut = F.regexp_extract_all(c, F.lit(t.pattern), F.lit(0))
+    whole = F.when(c.rlike(several), F.array_join(F.transform(cut, _decomposed), "")).otherwise(c)
+    return F.translate(whole, t.single, t.to)

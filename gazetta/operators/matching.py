@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.functions.text import let, running_total
-from gazetta.plans.gazetteer import KINDS
 
 #: Rows up to which a dictionary or gazetteer is fetched once, put into later plans as rows and broadcast (some 100 bytes
 #: each); beyond it Spark joins as it sees fit.
@@ -90,11 +89,11 @@ def windows(addresses: DataFrame, known: Spellings) -> DataFrame:
 
     The runs are taken from the address once, outside every lambda; what is exploded are short windows of them.
     """
-    cut = addresses.select("idx", "addr", runs(F.col("addr")).alias("runs")).where(F.size("runs") > 0)
+    cut = addresses.select("idx", "addr", runs(F.col("addr")).alias("runs"))
     is_word = lambda run: run.rlike("^[0-9A-Za-z_]")
     # The ends of a text are boundaries only beside a word character.
     opens = F.when(is_word(F.get("runs", F.lit(0))), 0).otherwise(1)
-    closes = F.size("runs") - F.when(is_word(F.element_at("runs", -1)), 0).otherwise(1)
+    closes = F.size("runs") - F.when(is_word(F.get("runs", F.size("runs") - 1)), 0).otherwise(1)
     most = F.lit(known.most_runs)
     if not known.case_sensitive:
         most = F.when(F.col("addr").rlike(_INTO_ASCII), F.lit(known.longest)).otherwise(most)
@@ -147,17 +146,33 @@ def hits_by_trie(addresses: DataFrame, known: Spellings) -> DataFrame:
     return hits.unionByName(hits_by_pieces(addresses.where(F.col("addr").rlike(_INTO_ASCII)), known))
 
 
+#: Spans that one fold appends to an array; each append copies it.
+_FOLD = 64
+
+
 def _leftmost_longest(spans: Column) -> Column:
-    """Of spans (s, minus length), those that begin behind the end of the one kept before."""
-    kind = "struct<last:int,kept:array<struct<s:int,e:int>>>"
-    start = F.struct(F.lit(-1).alias("last"), F.array().cast("array<struct<s:int,e:int>>").alias("kept")).cast(kind)
+    """Of spans (s, minus length), those that begin behind the end of the one kept before.
+
+    A fold in parts: what a part keeps is one element of the fold over parts, so no long array is copied at each span.
+    """
+    spans_type = "array<struct<s:int,e:int>>"
+    kind, outer = f"struct<last:int,kept:{spans_type}>", f"struct<last:int,kept:array<{spans_type}>>"
+    ended = lambda x: F.struct(x["s"].alias("s"), (x["s"] - x["m"] - 1).alias("e"))
 
     def step(acc: Column, x: Column) -> Column:
-        end = x["s"] - x["m"] - 1
-        more = F.struct(end.alias("last"), F.concat(acc["kept"], F.array(F.struct(x["s"].alias("s"), end.alias("e")))).alias("kept"))
+        more = F.struct((x["s"] - x["m"] - 1).alias("last"), F.concat(acc["kept"], F.array(ended(x))).alias("kept"))
         return F.when(x["s"] > acc["last"], more.cast(kind)).otherwise(acc).cast(kind)
 
-    return F.aggregate(F.array_sort(spans), start, step, lambda a: a["kept"])
+    def part(acc: Column, some: Column) -> Column:
+        start = F.struct(acc["last"].alias("last"), F.array().cast(spans_type).alias("kept")).cast(kind)
+        return let(F.aggregate(some, start, step), lambda x: F.struct(x["last"].alias("last"), F.concat(acc["kept"], F.array(x["kept"])).alias("kept")).cast(outer))
+
+    def fold(ordered: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(ordered) - 1) / _FOLD).cast("int")), lambda i: F.slice(ordered, i * _FOLD + 1, _FOLD))
+        start = F.struct(F.lit(-1).alias("last"), F.array().cast(f"array<{spans_type}>").alias("kept")).cast(outer)
+        return F.aggregate(parts, start, part, lambda acc: F.flatten(acc["kept"]))
+
+    return F.when(F.size(spans) == 1, F.transform(spans, ended).cast(spans_type)).otherwise(let(F.sort_array(spans), fold))
 
 
 def match_areas(addresses: DataFrame, dictionary: DataFrame | Spellings, case_sensitive: bool = True, by_trie: bool | None = None) -> DataFrame:
@@ -186,9 +201,12 @@ def match_table(matches: DataFrame, kind: str) -> DataFrame:
 
 
 def gathered(matches: DataFrame) -> DataFrame:
-    """idx, and arrays ward, district, province of (code, name, s, e, addr), in order: what the scoring strategies share.
+    """idx, and each: an array of (addr, areas), areas an array of (kind, code, name, spans), spans (s, e) in order of s.
 
-    Matches of match_areas() are dealt by idx already, so nothing moves.
+    Usually an idx has one address. The address stands once, not beside each match. Matches of match_areas() are dealt by
+    idx already, so nothing moves.
     """
-    item = F.struct("code", "name", F.col("start_idx").alias("s"), F.col("end_idx").alias("e"), "addr")
-    return matches.groupBy("idx").agg(*(F.sort_array(F.collect_set(F.when(F.col("kind") == k, item))).alias(k) for k in KINDS))
+    spans = F.sort_array(F.collect_set(F.struct(F.col("start_idx").alias("s"), F.col("end_idx").alias("e")))).alias("spans")
+    by_area = matches.groupBy("idx", "addr", "kind", "code", "name").agg(spans)
+    by_addr = by_area.groupBy("idx", "addr").agg(F.collect_list(F.struct("kind", "code", "name", "spans")).alias("areas"))
+    return by_addr.groupBy("idx").agg(F.collect_list(F.struct("addr", "areas")).alias("each"))

@@ -1,13 +1,14 @@
 """Scoring strategies: combinations of matched areas that lie in order and belong together in the gazetteer.
 
 A strategy is a row of STRATEGIES. The matches of an address are one row (gathered()), and one expansion runs all of them:
-each match is looked up once in the gazetteer, which names the areas it belongs to; matches of just these areas that come
-later are found by binary search in the address's matches (which are in order), so the work follows what is found, not
-the square of an address's matches, and the matching stands once in the plan.
+each area of it is looked up once in the gazetteer, which names the areas it belongs to; these, and their spans that come
+later, are found by binary search in the address's areas and spans (which are in order), so the work follows what is found,
+not the square of an address's matches, and the matching stands once in the plan.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -50,77 +51,94 @@ def _extended(s: Strategy, total: Column, before: Column, match: Column) -> Colu
     return longer - (match["s"] - before["e"]).cast("double") * F.lit(0.5) if s.gaps else longer
 
 
-def _place(matches: Column, key: Column) -> Column:
-    """How many of the matches, which are in order, are not above key (code, name, s): by binary search."""
-    start = F.struct(F.lit(0).alias("lo"), F.size(matches).alias("hi"))
+def _place(ordered: Column, below: Callable[[Column], Column]) -> Column:
+    """How many of an array's elements are below a border, which those in front of it are: by binary search."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(ordered).alias("hi"))
 
     def halve(acc: Column, _: Column) -> Column:
         middle = F.shiftright(acc["lo"] + acc["hi"], 1)
-        x = F.get(matches, middle)
-        above = (acc["lo"] < acc["hi"]) & (F.struct(x["code"].alias("code"), x["name"].alias("name"), x["s"].alias("s")) <= key)
-        return F.struct(F.when(above, middle + 1).otherwise(acc["lo"]).alias("lo"), F.when(above, acc["hi"]).otherwise(middle).alias("hi"))
+        up = (acc["lo"] < acc["hi"]) & below(F.get(ordered, middle))
+        return F.struct(F.when(up, middle + 1).otherwise(acc["lo"]).alias("lo"), F.when(up, acc["hi"]).otherwise(middle).alias("hi"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(matches)))), start, halve, lambda acc: acc["lo"])
+    return F.aggregate(F.sequence(F.lit(1), F.length(F.bin(F.size(ordered)))), start, halve, lambda acc: acc["lo"])
 
 
-def fitting(matches: Column, area: str, end: Column) -> Column:
-    """The matches of the area that the gazetteer row names that begin behind `end`, as they stand in order."""
-    key = lambda s: F.struct(F.col(f"{area}_code").alias("code"), F.col(area).alias("name"), s.alias("s"))
-    return let(_place(matches, key(end)), lambda lo: F.slice(matches, lo + 1, _place(matches, key(F.lit(2**63 - 1))) - lo))
+def _named(areas: Column, kind: str) -> Column:
+    """Spans of the area of a kind that the gazetteer row names: an array for each address that has it (areas: in order)."""
+    of = lambda x: F.struct(x["code"].alias("code"), x["name"].alias("name"))
+    key = F.struct(F.col(f"_{kind}_code").alias("code"), F.col(f"_{kind}").alias("name"))
+    found = let(_place(areas, lambda x: of(x) < key), lambda lo: F.slice(areas, lo + 1, _place(areas, lambda x: of(x) <= key) - lo))
+    return F.transform(found, lambda x: x["spans"])
 
 
-def _scored(s: Strategy, first: Column) -> Column:
-    """An array of (strategy, score) of all chains of a strategy that begin with the match `first`."""
+def _after(named: Column, end: Column) -> Column:
+    """Of arrays of spans in order, the spans that begin behind `end`."""
+    rest = lambda spans: let(_place(spans, lambda x: x["s"] <= end), lambda lo: F.slice(spans, lo + 1, F.size(spans) - lo))
+    return F.flatten(F.transform(named, rest))
+
+
+def _scored(s: Strategy) -> Column:
+    """An array of (strategy, score) of all chains of a strategy that begin with a span of the first area."""
     told = lambda total: F.struct(F.lit(STRATEGIES.index(s)).alias("strategy"), (total * F.lit(s.factor)).alias("score"))
-    total = _length(first).cast("double")
+    length = lambda first: _length(first).cast("double")
+    spans, all_of = F.col("_spans"), lambda area: F.col(f"_named_{area}")
     if len(s.areas) == 1:
-        return F.array(told(total)).cast(_SCORED)
-    second = lambda area: fitting(F.col(f"_all_{area}"), area, first["e"])
+        return F.transform(spans, lambda first: told(length(first))).cast(_SCORED)
+    second = all_of(s.areas[1])
     if len(s.areas) == 2:
-        return F.transform(second(s.areas[1]), lambda m: told(_extended(s, total, first, m))).cast(_SCORED)
+        return F.flatten(F.transform(spans, lambda first: F.transform(_after(second, first["e"]), lambda m: told(_extended(s, length(first), first, m))))).cast(_SCORED)
 
-    def third(m: Column) -> Column:
-        return F.transform(fitting(F.col(f"_all_{s.areas[2]}"), s.areas[2], m["e"]), lambda x: told(_extended(s, _extended(s, total, first, m), m, x)))
+    def of(first: Column) -> Column:
+        more = lambda m: F.transform(_after(all_of(s.areas[2]), m["e"]), lambda x: told(_extended(s, _extended(s, length(first), first, m), m, x)))
+        return F.flatten(F.transform(_after(second, first["e"]), more))
 
-    return F.flatten(F.transform(second(s.areas[1]), third)).cast(_SCORED)
+    return F.flatten(F.transform(spans, of)).cast(_SCORED)
 
 
 def lookup(gazetteer: DataFrame, fan_out: bool = True) -> DataFrame:
-    """kind, code, name and the gazetteer's rows of each area: an area of a higher kind has those of all its wards.
+    """kind, code, name of each area, the codes and names of the areas it belongs to (with _ in front), and members: the
+    gazetteer's rows of it that belong to these. Scores depend on all but the members, so they are computed once for them.
 
-    Without fan-out, of the rows that name the same districts and provinces only the one that wins the tie rule remains.
+    Without fan-out, of the members only the one that wins the tie rule remains.
     """
     rows = gazetteer.select(*AREAS).distinct()
     area = lambda k: F.struct(F.lit(k).alias("kind"), F.col(f"{k}_code").alias("code"), F.col(k).alias("name"))
     every = rows.select("*", F.inline(F.array(*map(area, KINDS))))
-    if fan_out:
-        return every
-    named = ["kind", "code", "name", *(F.when(F.col("kind").isin(KINDS[: KINDS.index(c.removesuffix("_code"))]), F.col(c)).alias(f"_{c}") for c in AREAS[2:])]
+    above = [F.when(F.col("kind").isin(KINDS[: KINDS.index(c.removesuffix("_code"))]), F.col(c)).alias(f"_{c}") for c in AREAS[2:]]
     order = F.struct("ward_code", "district_code", "province_code", "ward", "district", "province")
-    return every.groupBy(*named).agg(F.min(order).alias("g")).select("kind", "code", "name", *(F.col(f"g.{c}").alias(c) for c in AREAS))
+    return every.groupBy("kind", "code", "name", *above).agg((F.collect_list(order) if fan_out else F.array(F.min(order))).alias("members"))
 
 
 def all_scores(gathered: DataFrame, areas: DataFrame, strategies: list[Strategy] = STRATEGIES, best_of_each: bool = False) -> DataFrame:
     """The RESULT columns and the strategy's number for every chain of matches, of all strategies.
 
-    areas: of lookup(). best_of_each: only the best chain for each match and gazetteer row.
+    areas: of lookup(). best_of_each: only the best chain for each area and row of lookup() (of all strategies).
     """
     kinds = [k for k in KINDS if any(s.areas[0] == k for s in strategies)]
-    of = lambda kind: F.transform(kind, lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("m")))
-    firsts = F.flatten(F.array(*map(of, kinds)))
-    rows = gathered.select("idx", *(F.col(k).alias(f"_all_{k}") for k in KINDS[1:]), F.inline(firsts).alias("_kind", "_m"))
-    rows = rows.select("*", F.col("_m.code").alias("_code"), F.col("_m.name").alias("_name"))
+
+    def all_of(kind: str) -> Column:
+        mine = lambda x: F.transform(F.filter(x["areas"], lambda a: a["kind"] == kind), lambda a: F.struct(a["code"], a["name"], a["spans"]))
+        return F.sort_array(F.flatten(F.transform("each", mine))).alias(f"_all_{kind}")
+
+    rows = gathered.select("idx", *map(all_of, KINDS[1:]), F.inline("each").alias("addr", "_areas"))
+    first = F.filter("_areas", lambda a: a["kind"].isin(kinds))
+    rows = rows.select("idx", "addr", *(f"_all_{k}" for k in KINDS[1:]), F.inline(first).alias("_kind", "_code", "_name", "_spans"))
     rows = rows.join(areas, (F.col("_kind") == F.col("kind")) & (F.col("_code") == F.col("code")) & (F.col("_name") == F.col("name")))
+    # What several strategies use is a column of its own: the spans of the other areas that a gazetteer row names.
+    later = lambda k: F.when(F.col("_kind").isin(KINDS[: KINDS.index(k)]), _named(F.col(f"_all_{k}"), k)).alias(f"_named_{k}")
+    rows = rows.select("idx", "addr", "_kind", "_spans", "members", *map(later, KINDS[1:]))
     none = F.array().cast(_SCORED)
-    of_kind = lambda k: F.concat(none, *(_scored(s, F.col("_m")) for s in strategies if s.areas[0] == k))
+    of_kind = lambda k: F.concat(none, *(_scored(s) for s in strategies if s.areas[0] == k))
     scored = none
     for k in kinds:
         scored = F.when(F.col("_kind") == k, of_kind(k)).otherwise(scored)
     if best_of_each:
+        # Every kind has a strategy of its own, so there is always one (and no filter that Spark would run the scoring for).
         top = F.array_min(F.transform(scored, lambda x: F.struct((-x["score"]).alias("below"), x["strategy"].alias("strategy"))))
-        rows = rows.select("idx", F.col("_m.addr").alias("addr"), *AREAS, top.alias("_t")).where("_t IS NOT NULL")
-        return rows.select("idx", "addr", *AREAS, (-F.col("_t.below")).alias("score"), F.col("_t.strategy").alias("strategy"))
-    return rows.select("idx", F.col("_m.addr").alias("addr"), *AREAS, F.inline(scored).alias("strategy", "score")).select(*RESULT, "strategy")
+        rows = rows.select("idx", "addr", F.get("members", F.lit(0)).alias("_g"), top.alias("_t"))
+        return rows.select("idx", "addr", *(F.col(f"_g.{c}").alias(c) for c in AREAS), (-F.col("_t.below")).alias("score"), F.col("_t.strategy").alias("strategy"))
+    rows = rows.select("idx", "addr", "members", F.inline(scored).alias("strategy", "score"))
+    return rows.select("idx", "addr", "strategy", "score", F.inline("members")).select(*RESULT, "strategy")
 
 
 def score(gathered: DataFrame, areas: DataFrame, s: Strategy) -> DataFrame:

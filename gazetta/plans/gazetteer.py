@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gazetta.functions.text import DISTRICT_LEVELS, PROVINCE_LEVELS, WARD_LEVELS, level_of, remove_accents, strip_prefix
-from gazetta.functions.variants import area_variants, checked
+from gazetta.functions.variants import area_variants, checked, long_name
 
 KINDS = ["ward", "district", "province"]
 COLUMNS = [f"{k}{x}" for k in KINDS for x in ("_code", "", "_level")]
@@ -32,9 +32,9 @@ def from_government_list(rows: DataFrame) -> DataFrame:
     names = {"Mã": "ward_code", "Tên": "ward", "Cấp": "ward_level", "Mã QH": "district_code", "Quận Huyện": "district", "Mã TP": "province_code", "Tỉnh / Thành Phố": "province"}
     flat = normalize_strings(rows.drop("Tên Tiếng Anh").withColumnsRenamed(names))
     return flat.select(
-        "ward_code", strip_prefix(F.col("ward"), WARD_LEVELS).alias("ward"), "ward_level",
-        "district_code", F.ltrim(strip_prefix(F.col("district"), DISTRICT_LEVELS)).alias("district"), first_match(F.col("district"), "^(?:" + "|".join(DISTRICT_LEVELS) + ")").alias("district_level"),
-        "province_code", strip_prefix(F.col("province"), PROVINCE_LEVELS).alias("province"), first_match(F.col("province"), "^(?:" + "|".join(PROVINCE_LEVELS) + ")").alias("province_level"),
+        "ward_code", strip_prefix(F.col("ward"), WARD_LEVELS, ignore_case=False).alias("ward"), "ward_level",
+        "district_code", F.ltrim(strip_prefix(F.col("district"), DISTRICT_LEVELS, ignore_case=False)).alias("district"), first_match(F.col("district"), "^(?:" + "|".join(DISTRICT_LEVELS) + ")").alias("district_level"),
+        "province_code", strip_prefix(F.col("province"), PROVINCE_LEVELS, ignore_case=False).alias("province"), first_match(F.col("province"), "^(?:" + "|".join(PROVINCE_LEVELS) + ")").alias("province_level"),
     )
 
 
@@ -62,9 +62,15 @@ def variants(gazetteer: DataFrame, kind: str) -> DataFrame:
     return _spelled(areas(gazetteer).where(F.col("kind") == kind)).drop("kind")
 
 
-def dictionary(gazetteer: DataFrame) -> DataFrame:
-    """kind, code, name, level, variant: a row for each spelling of each area. A name with an empty word is an error."""
-    return _spelled(areas(gazetteer)).select("kind", "code", "name", "level", F.explode("variants").alias("variant"))
+def dictionary(gazetteer: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """kind, code, name, level, variant: a row for each spelling of each area. A name with an empty word is an error.
+
+    observation: gets areas and long_names (the number of names with more words than there are rules for) as it is made.
+    """
+    every = areas(gazetteer)
+    if observation is not None:
+        every = every.observe(observation, F.count(F.lit(1)).alias("areas"), F.count_if(long_name(F.col("name"))).alias("long_names"))
+    return _spelled(every).select("kind", "code", "name", "level", F.explode("variants").alias("variant"))
 
 
 def variant_counts(gazetteer: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gazetta.functions.text import normalize_strings
@@ -18,18 +19,20 @@ class Known(NamedTuple):
 
     spellings: matching.Spellings
     gazetteer: DataFrame
+    names: dict[str, int]  # areas, long_names: counted as the spellings were made
 
 
 def prepare(gazetteer: DataFrame) -> Known:
     """One job fetches spellings and rows; a gazetteer that is too large for that stays a plan."""
-    rows, spelled = gazetteer.select(*scoring.AREAS).distinct(), gz.dictionary(gazetteer)
+    seen, again = Observation("areas"), Observation("all areas")
+    rows, spelled = gazetteer.select(*scoring.AREAS).distinct(), gz.dictionary(gazetteer, seen)
     head = matching.local_rows(spelled.withColumn("spelled", F.lit(True)).unionByName(rows.withColumn("spelled", F.lit(False)), allowMissingColumns=True))
     if head is None:
-        return Known(matching.spellings(spelled), rows)
+        return Known(matching.spellings(gz.dictionary(gazetteer, again)), rows, again.get)
     told = head.column("spelled")
     d = head.filter(told).select(spelled.columns)
     g = head.filter(pc.invert(told)).select(rows.columns)
-    return Known(matching.spellings(spelled, fetched=d), F.broadcast(gazetteer.sparkSession.createDataFrame(g, rows.schema)))
+    return Known(matching.spellings(spelled, fetched=d), F.broadcast(gazetteer.sparkSession.createDataFrame(g, rows.schema)), seen.get)
 
 
 def _areas(known: Known, fan_out: bool) -> DataFrame:
@@ -57,8 +60,23 @@ def resolve(addresses: DataFrame, gazetteer: DataFrame | Known) -> DataFrame:
     return best_scores(matching.match_areas(normalize_strings(addresses.select("idx", "addr")), known.spellings), known)
 
 
+def resolve_observed(addresses: DataFrame, gazetteer: DataFrame | Known) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """resolve(), and a function that, once its rows have been written, tells how many rows came, had an answer (in all and
+    by strategy) or had none, without a second job. Rows are taken to have an idx of their own."""
+    came, answered = Observation("addresses"), Observation("answers")
+    rows = addresses.select("idx", "addr").observe(came, F.count(F.lit(1)).alias("rows"))
+    by = [F.count_if(F.col("strategy") == i).alias(s.name) for i, s in enumerate(scoring.STRATEGIES)]
+    result = resolve(rows, gazetteer).observe(answered, F.count(F.lit(1)).alias("matched"), *by)
+
+    def metrics() -> dict[str, int]:
+        told = came.get | answered.get
+        return told | {"unresolved": told["rows"] - told["matched"]}
+
+    return result, metrics
+
+
 def resolve_matches(wards: DataFrame, districts: DataFrame, provinces: DataFrame, gazetteer: DataFrame | Known) -> DataFrame:
-    """The same from stored match tables (as match_table() makes them); see also sources.store."""
+    """The same from stored match tables (as match_table() makes them). From sources.store, best_scores() moves nothing."""
     known = gazetteer if isinstance(gazetteer, Known) else prepare(gazetteer)
     tables = [(wards, "ward"), (districts, "district"), (provinces, "province")]
     a, b, c = (t.select("idx", "addr", F.lit(k).alias("kind"), F.col(f"{k}_code").alias("code"), F.col(k).alias("name"), "start_idx", "end_idx") for t, k in tables)

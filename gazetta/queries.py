@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions import text
-from gazetta.functions.variants import LEVEL_PREFIXES
-from gazetta.operators import matching, scoring
+from gazetta.operators import containment, matching, scoring
 from gazetta.plans import gazetteer as gz
 from gazetta.plans import resolve
 
@@ -39,6 +38,12 @@ SELECT CAST(c.c_custkey AS BIGINT) AS idx, CASE c.c_custkey % 8
 FROM (SELECT c_custkey, CAST(c_custkey % k.n AS BIGINT) AS w FROM customer CROSS JOIN (SELECT count(*) AS n FROM supplier) k) c
  JOIN gaz g ON CAST(g.ward_code AS BIGINT) = c.w"""
 
+#: The same in mixed case, with letters that lower-casing makes longer, and with one (U+212A) that folds to ASCII.
+MIXED = """
+SELECT idx, CASE idx % 4 WHEN 0 THEN upper(addr) WHEN 1 THEN concat('İß ', addr) WHEN 2 THEN replace(addr, 'k', 'K') ELSE addr END AS addr FROM addresses"""
+#: Addresses in a text of their own for the queries on parts: so many of them, and those of every tenth idx aren't parts.
+IN_A_TEXT, NO_PART = 50, 10
+
 #: Full names, with their unit words in mixed case, for the queries on unit words.
 FULL_NAMES = """
 SELECT lpad(CAST(s_suppkey AS STRING), 5, '0') AS ward_code,
@@ -131,6 +136,25 @@ def _all_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.all_scores(matching.match_areas(addresses(spark, sf_dir), known.spellings), known)
 
 
+_MATCH = ["idx", "addr", "kind", "code", "name", "start_idx", "end_idx"]
+
+
+def _match_by_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.match_areas(addresses(spark, sf_dir), gz.dictionary(gazetteer(spark, sf_dir)), by_trie=True).select(*_MATCH)
+
+
+def _match_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = spark.sql(MIXED.replace("FROM addresses", "FROM {addresses}"), addresses=addresses(spark, sf_dir))
+    found = matching.match_areas(mixed, gz.dictionary(gazetteer(spark, sf_dir)), case_sensitive=False)
+    return found.select(*_MATCH, F.substring("addr", F.col("start_idx").cast("int") + 1, (F.col("end_idx") - F.col("start_idx")).cast("int") + 1).alias("matched"))
+
+
+def _match_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts, parts = containment.combined(addresses(spark, sf_dir), F.floor(F.col("idx") / IN_A_TEXT))
+    spans = matching.match_areas(texts, gz.dictionary(gazetteer(spark, sf_dir))).select(F.col("idx").alias("batch"), "kind", "code", "name", "start_idx", "end_idx")
+    return containment.contained(spans, parts.where(F.col("idx") % NO_PART != 0), ["batch"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "normalize_addr": addresses,
@@ -143,6 +167,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{f"variants_{k}": _variants(k) for k in gz.KINDS},
         "variant_counts": lambda spark, sf_dir: gz.variant_counts(gazetteer(spark, sf_dir)),
         **{f"match_{k}": _match(k) for k in gz.KINDS},
+        "match_by_trie": _match_by_trie,
+        "match_folded": _match_folded,
+        "match_parts": _match_parts,
         **{f"score_{s.name}": _score(s) for s in scoring.STRATEGIES},
         "score_all": _all_scores,
         "infer_best": lambda spark, sf_dir: resolve.resolve(raw_addresses(spark, sf_dir), gazetteer(spark, sf_dir)),
@@ -153,10 +180,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---- SQL for DuckDB -------------------------------------------------------------------------------------------------
 
 
-def _prefix_rows() -> str:
-    return ", ".join(f"('{level}', '{p}')" for level, ps in LEVEL_PREFIXES.items() for p in ps)
-
-
+_PREFIXES = """
+ ('phuong', 'p.'), ('phuong', 'p '), ('phuong', 'p'), ('phuong', 'phuong '), ('xa', 'xa '), ('xa', 'x.'), ('xa', 'x '),
+ ('thi tran', 'thi tran '), ('thi tran', 'tt.'), ('thi tran', 'tt '), ('quan', 'quan '), ('quan', 'q.'), ('quan', 'q '), ('quan', 'q'),
+ ('huyen', 'huyen '), ('huyen', 'h.'), ('huyen', 'h '), ('thi xa', 'thi xa '), ('thi xa', 'tx.'), ('thi xa', 'tx '),
+ ('thanh pho', 'tp '), ('thanh pho', 'tp.'), ('thanh pho', 'thanh pho '), ('tinh', 'tinh '), ('tinh', 't.'), ('tinh', 't ')"""
 _NORMAL = "regexp_replace(trim(lower(addr), ' ' || chr(9) || chr(10) || chr(13)), ' +', ' ', 'g')"
 _WITH = f"WITH RECURSIVE gaz AS ({GAZETTEER}), addresses AS (SELECT idx, {_NORMAL} AS addr FROM ({ADDRESSES}) t)"
 _SPELLED = f""",
@@ -178,7 +206,7 @@ base AS (
  SELECT kind, code, name, level, left(w[1], 1) || left(w[2], 1) || left(w[3], 1) FROM worded WHERE len(w) = 3 AND kind <> 'ward'),
 spelled AS (
  SELECT kind, code, name, level, v AS variant FROM base UNION
- SELECT b.kind, b.code, b.name, b.level, p.prefix || b.v FROM base b JOIN (VALUES {_prefix_rows()}) p(level, prefix) ON p.level = b.level)"""
+ SELECT b.kind, b.code, b.name, b.level, p.prefix || b.v FROM base b JOIN (VALUES {_PREFIXES}) p(level, prefix) ON p.level = b.level)"""
 _MATCHED = """,
 cut AS (SELECT idx, addr, i FROM addresses, LATERAL (SELECT unnest(range(0, length(addr) + 1)) AS i) r
  WHERE (i > 0 AND regexp_matches(substr(addr, i, 1), '[0-9A-Za-z_]')) <> (i < length(addr) AND regexp_matches(substr(addr, i + 1, 1), '[0-9A-Za-z_]'))),
@@ -233,6 +261,15 @@ FROM w JOIN d ON w.district_code = d.district_code JOIN p ON d.province_code = p
         "infer_best": f"{best} SELECT * EXCLUDE (k) FROM best WHERE k = 1",
         "unresolved": f"{best} SELECT idx, addr FROM addresses a WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.idx = a.idx)",
     }
+    found = "SELECT idx, addr, kind, code, name, s AS start_idx, e AS end_idx"
+    out["match_by_trie"] = f"{_WITH}{_SPELLED}{_MATCHED} {found} FROM m"
+    folded = _MATCHED.replace("v.variant = substr(s.addr, s.i + 1, e.i - s.i)", "v.variant = lower(substr(s.addr, s.i + 1, e.i - s.i))").replace("FROM addresses,", "FROM mixed,")
+    out["match_folded"] = f"{_WITH}{_SPELLED}, mixed AS ({MIXED}){folded} {found}, substr(addr, CAST(s AS INT) + 1, CAST(e - s AS INT) + 1) AS matched FROM m"
+    # The parts' answers must be those of the addresses by themselves.
+    out["match_parts"] = f"""{_WITH}{_SPELLED}{_MATCHED},
+placed AS (SELECT idx, idx // {IN_A_TEXT} AS batch, CAST(coalesce(sum(length(addr) + 1) OVER (PARTITION BY idx // {IN_A_TEXT} ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS o FROM addresses)
+SELECT batch, kind, code, name, CASE WHEN idx % {NO_PART} = 0 THEN s + o ELSE s END AS start_idx, CASE WHEN idx % {NO_PART} = 0 THEN e + o ELSE e END AS end_idx,
+ CASE WHEN idx % {NO_PART} = 0 THEN NULL ELSE idx END AS idx FROM m JOIN placed USING (idx)"""
     for k in ("ward", "district", "province"):
         out[f"distinct_{k}s"] = f"WITH gaz AS ({GAZETTEER}) SELECT DISTINCT {k}_code AS code, {k} AS name, {k}_level AS level FROM gaz"
         out[f"variants_{k}"] = f"{_WITH}{_SPELLED} SELECT code, name, level, variant FROM spelled WHERE kind = '{k}'"
