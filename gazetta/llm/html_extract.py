@@ -1,16 +1,21 @@
 """Main text of web pages from tag ratios.
 
 A page streams through the standard library's HTML parser. Its events make *lines*: the text between block-level tags,
-with the number of tags seen since the line before. A line's score is its characters outside links for each tag; what an
-element's tag, role, class or id says is only a feature of it: MARKED times the score inside an element that is marked
-as boilerplate, nothing at all if the mark stands inside the article or main element that holds the line (an advert or a
-notice in an article). Scores are smoothed with a Gaussian along the page, and a threshold (two-means clustering of the
-smoothed scores) tells content lines from the others.
-Content lines choose what is given: article and main elements that hold one, and such elements around them, are given
-whole but for the marked elements in them, so that headings and short paragraphs are kept; those inside marked elements
-only if no other has a content line. A page without such an element gives what lies between its first and its last
-content line (and as many lines around as the smoothing blurs), marked elements aside; where everything is marked, marks
-say nothing. No region is left out for its size.
+with the number of tags seen since the line before. A line's score is its characters outside links for each tag. What an
+element's tag, role, class or id says is a feature of it, no more: inside an element that is marked as boilerplate a score
+counts NAMED or STRUCTURAL times; classes and ids are compared whole, and ids of headings and sections name their subject, so they mark
+only reader comments. Scores are smoothed with a Gaussian along the page, and a threshold (two-means clustering of the
+smoothed scores) tells *content lines* from the others; a marked line must by itself reach what those have on average.
+
+Content lines choose the regions. The innermost element that holds all of them is searched, widened to the main element
+around it, and unmarked articles beside it count as well. Of what these hold is given:
+
+* lines of article and main elements, and lines whose container (div, section, cell, ...) holds a content line or that lie
+  between content lines: so headings, short paragraphs and the end of a text stay;
+* not marked lines that aren't content, nor lines of nothing but links outside of articles, nor articles of nothing but
+  links.
+
+Where everything is marked, marks say nothing. No region is left out for its size.
 
 Edge cases: a null or empty page, or one without content, gives the empty string; tags that are never closed and bare
 text give what a lenient parser sees; equal pages give equal texts, repeated rows a row each; very long pages are worked on
@@ -40,19 +45,25 @@ BLOCK = frozenset(
 HIDDEN = frozenset("script style noscript template head title iframe object svg math canvas audio video select datalist".split())
 BOILERPLATE = frozenset("nav footer aside form button menu dialog search fieldset input textarea label".split())
 REGION = frozenset("article main".split())
+CONTAINER = REGION | frozenset("html body div section td th center blockquote details dd".split())
+#: Elements whose id names their subject.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words of class and id names (split at anything that isn't a letter) that name boilerplate.
-NAMES = frozenset(
+#: Whole classes and ids of reader comments, and those of any boilerplate.
+COMMENTS = frozenset("comment comments commentlist comment-list disqus disqus_thread respond replies reply".split())
+NAMES = COMMENTS | frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs footer sidebar "
-    "aside widget related recommended share sharing social newsletter subscribe subscription signup login popup modal overlay cookie cookies consent gdpr notice "
-    "comment comments commentlist disqus respond replies reply pagination pager toolbar masthead skip".split()
+    "aside widget related recommended share sharing social newsletter subscribe subscription signup login popup modal overlay cookie cookies cookie-banner consent "
+    "gdpr notice pagination pager toolbar masthead skip site-header site-footer site-nav page-header page-footer main-menu main-nav".split()
 )
-#: Those that mark an article element itself (others, like a theme's "with-sidebar", say nothing about it).
-OWN_NAMES = frozenset("ad ads advert advertisement sponsored promo comment comments reply replies respond related recommended teaser".split())
+#: Those that mark an article element itself (others, like a theme's "sidebar", say nothing about it).
+OWN_NAMES = COMMENTS | frozenset("ad ads advert advertisement sponsored promo related recommended teaser".split())
 #: Closing one of these is implied when a block of its kind opens.
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"}
 _SPACES = re.compile(r"\s+")
-SIGMA, RADIUS, MARKED = 1.0, 2, 0.25
+SIGMA, RADIUS = 1.0, 2
+#: What a score counts in elements marked by a name, and in those that are boilerplate by their tag or role.
+NAMED, STRUCTURAL = 0.1, 0.02
 _WEIGHTS = [math.exp(-(i * i) / (2 * SIGMA * SIGMA)) for i in range(-RADIUS, RADIUS + 1)]
 
 
@@ -60,20 +71,22 @@ class Line(NamedTuple):
     text: str
     tags: int
     linked: int  # characters inside links
+    container: int  # number of the innermost container
     region: int  # number of the innermost article or main element; 0: none
-    inside: bool  # whether an element inside the region (or, without one, any element) is marked as boilerplate
+    weight: float  # below 1 if an element around it is marked as boilerplate
 
 
 class State(NamedTuple):
     tag: str = ""
     hidden: bool = False
-    inside: bool = False
+    weight: float = 1.0
+    container: int = 0
     region: int = 0
     link: bool = False
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page, and of each region the one around it and whether it is marked."""
+    """Collects the lines of a page, and of each container the one around it and its tag."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -81,7 +94,7 @@ class Lines(HTMLParser):
         self.open: list[State] = [State()]
         self.text: list[str] = []
         self.tags = self.linked = 0
-        self.around, self.marked = [-1], [False]
+        self.around, self.names_of, self.kept = [-1], [""], [True]
 
     def line(self) -> None:
         if self.text:
@@ -89,7 +102,7 @@ class Lines(HTMLParser):
             self.text.clear()
             if text:
                 now = self.open[-1]
-                self.lines.append(Line(text, self.tags, min(self.linked, len(text)), now.region, now.inside))
+                self.lines.append(Line(text, self.tags, min(self.linked, len(text)), now.container, now.region, now.weight))
                 self.tags = 0
             self.linked = 0
 
@@ -108,17 +121,28 @@ class Lines(HTMLParser):
         up = self.open[-1]
         a = {k: (v or "").lower() for k, v in attrs} if attrs else {}
         hidden = up.hidden or tag in HIDDEN or "hidden" in a or "display:none" in a.get("style", "").replace(" ", "")
-        if tag in REGION:
-            self.around.append(up.region)
-            self.marked.append(up.inside or self.marked[up.region] or bool(self.names(a) & OWN_NAMES))
-            self.open.append(State(tag, hidden, False, len(self.around) - 1, up.link))
-            return
-        marked = tag in BOILERPLATE or (tag == "header" and not up.region) or (tag not in ("html", "body") and (a.get("role") in ROLES or bool(self.names(a) & NAMES)))
-        self.open.append(State(tag, hidden, up.inside or marked, up.region, up.link or tag == "a"))
+        weight = min(up.weight, self.marks(tag, a, bool(up.region)))
+        container, region = up.container, up.region
+        if tag in CONTAINER:
+            self.around.append(container)
+            self.names_of.append(tag)
+            self.kept.append(weight == 1)
+            container = len(self.around) - 1
+            region = container if tag in REGION else region
+        self.open.append(State(tag, hidden, weight, container, region, up.link or tag == "a"))
 
     @staticmethod
-    def names(a: dict[str, str]) -> set[str]:
-        return {w for k in ("class", "id") if k in a for w in re.split(r"[^a-z]+", a[k])}
+    def marks(tag: str, a: dict[str, str], inside: bool) -> float:
+        """What an element's own tag or attributes let scores in it count; inside: in an article or main element."""
+        classes, name = set(a.get("class", "").split()), {a.get("id", "").strip()}
+        if tag in REGION:
+            return NAMED if (classes | name) & OWN_NAMES else 1.0
+        if tag in ("html", "body"):
+            return 1.0
+        if tag in BOILERPLATE or (tag == "header" and not inside) or a.get("role") in ROLES:
+            return STRUCTURAL
+        titles = (classes & COMMENTS if tag in TITLED - {"section"} else classes & NAMES) or name & (COMMENTS if tag in TITLED else NAMES)
+        return NAMED if titles else 1.0
 
     def close_implied(self, tag: str, until: frozenset | set) -> None:
         for i in range(len(self.open) - 1, 0, -1):
@@ -179,11 +203,7 @@ def threshold(values: list[float]) -> float:
 
 def line_scores(page: Lines) -> list[float]:
     """Characters outside links for each tag, less where marks speak against a line."""
-    out = []
-    for x in page.lines:
-        weight = (0.0 if x.inside else 1.0) * (MARKED if page.marked[x.region] else 1.0) if x.region else (MARKED if x.inside else 1.0)
-        out.append(weight * (len(x.text) - x.linked) / max(1, x.tags))
-    return out
+    return [x.weight * (len(x.text) - x.linked) / max(1, x.tags) for x in page.lines]
 
 
 def main_text(html: str | None) -> str:
@@ -195,22 +215,44 @@ def main_text(html: str | None) -> str:
     lines = page.lines
     if not lines:
         return ""
-    scores = smoothed(line_scores(page))
+    if all(x.weight < 1 for x in lines):
+        lines[:] = [x._replace(weight=1.0) for x in lines]
+        page.kept = [True] * len(page.kept)
+    own = line_scores(page)
+    scores = smoothed(own)
     cut = threshold(scores)
-    if any(x.region and not x.inside for x in lines):
-        at = [i for i, x in enumerate(lines) if x.region and not x.inside]
-        chosen = {lines[i].region for i in at if scores[i] >= cut and scores[i] > 0} or {lines[max(at, key=scores.__getitem__)].region}
-        chosen = {r for r in chosen if not page.marked[r]} or chosen
-        for r in list(chosen):
-            while (r := page.around[r]) > 0:
-                chosen.add(r)
-        return "\n".join(x.text for x in lines if x.region in chosen and not x.inside)
-    plain = [not x.inside for x in lines]
-    if not any(plain):
-        plain = [True] * len(lines)
-    at = [i for i, s in enumerate(scores) if plain[i] and s >= cut]
-    first, last = (max(0, at[0] - RADIUS), at[-1] + RADIUS) if at else (0, len(lines) - 1)
-    return "\n".join(x.text for x, p in zip(lines[first : last + 1], plain[first : last + 1], strict=True) if p)
+    high = [s for s in scores if s >= cut]
+    usual = sum(high) / len(high)
+    content = [s >= cut and (x.weight == 1 or o >= usual) for x, s, o in zip(lines, scores, own, strict=True)]
+    if not any(content):
+        content = [s >= cut for s in scores]
+
+    def path(c: int) -> list[int]:
+        out = [c]
+        while page.around[out[-1]] >= 0:
+            out.append(page.around[out[-1]])
+        return out[::-1]
+
+    held = [path(x.container) for x in lines]
+    common = None
+    for p, c in zip(held, content, strict=True):
+        if c:
+            same = p if common is None else [a for a, b in zip(common, p, strict=False) if a == b]
+            common = same
+    common = common or [0]
+    # Widened to the outermost main element around, if there is one.
+    roots = {next((c for c in common if page.names_of[c] == "main"), common[-1])}
+    with_content = {x.container for x, c in zip(lines, content, strict=True) if c}
+    told = {x.region for x, c, o in zip(lines, content, own, strict=True) if x.region and (c or o > 0)}  # articles of more than links
+    if any(page.names_of[c] in REGION for c in common):
+        roots |= {r for r in told if page.kept[r]}
+    first, last = content.index(True), len(lines) - 1 - content[::-1].index(True)
+    out = []
+    for i, (x, p) in enumerate(zip(lines, held, strict=True)):
+        inside = x.region in told if x.region else own[i] > 0 and (x.container in with_content or first <= i <= last)
+        if content[i] or (inside and x.weight == 1 and not roots.isdisjoint(p)):
+            out.append(x.text)
+    return "\n".join(out)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

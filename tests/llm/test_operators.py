@@ -250,13 +250,44 @@ def test_html_scores_choose_the_content(monkeypatch):
     assert html_extract.main_text(TEASERS) != want
 
 
+LONG = "A paragraph of the article goes on for a while, with words enough to be told from a menu. " * 3
+PAGES = [
+    # no article element: headings, and a long tail of short paragraphs
+    ("<nav><a href='/'>home</a><a href='/b'>b</a></nav><div class='ad'>buy this now</div><div id='text'><h1>T</h1><p>" + LONG + "</p>" + "".join(f"<p>end {i}</p>" for i in range(6)) + "</div><div class='footer'>contact us</div>", ["T", LONG.strip(), *(f"end {i}" for i in range(6))]),
+    ("<body><nav><a href='/'>home</a></nav><p>" + LONG + "</p><p>and then</p><p>the end</p><footer>legal text here</footer></body>", [LONG.strip(), "and then", "the end"]),
+    # names of headings and sections, and names that only hold a marked word
+    ("<nav><a>x</a></nav><article><h2 id='related-work'>Related</h2><section id='navigation'><p>short</p><p>" + LONG + "</p></section><div class='social-science'><p>s</p></div><p class='banner-quote'>q</p><ul class='menu-of-dishes'><li>soup</li></ul><section class='notice-board'><p>b</p></section></article>", ["Related", "short", LONG.strip(), "s", "q", "soup", "b"]),
+    # a second, short article
+    ("<header>Site</header><article><h1>One</h1><p>" + LONG * 3 + "</p></article><article><h1>Two</h1><p>A short one.</p></article><aside>see also</aside>", ["One", (LONG * 3).strip(), "Two", "A short one."]),
+    # heading and lead in main beside the article
+    ("<nav><a>x</a></nav><main><h1>Head</h1><p>The lead.</p><article><p>" + LONG * 3 + "</p></article></main><footer>foot</footer>", ["Head", "The lead.", (LONG * 3).strip()]),
+]
+
+
+@pytest.mark.parametrize(("html", "lines"), PAGES)
+def test_html_regions_come_from_scores(html, lines, monkeypatch):
+    import random
+
+    assert html_extract.main_text(html) == "\n".join(lines)
+    rng = random.Random(1)
+    monkeypatch.setattr(html_extract, "line_scores", lambda page: [rng.random() for _ in page.lines])
+    assert sum(html_extract.main_text(html) != "\n".join(lines) for _ in range(20)) >= 3
+
+
+def test_html_marks_alone_delete_nothing():
+    """A marked element in an article that scores as the article does stays; one that scores less goes."""
+    rich = "<article><p>" + LONG + "</p><div class='widget'><p>" + LONG * 30 + "</p></div></article>"
+    assert html_extract.main_text(rich) == f"{LONG.strip()}\n{(LONG * 30).strip()}"
+    assert html_extract.main_text("<article><p>" + LONG + "</p><div class='widget'><p>get it</p></div></article>") == LONG.strip()
+
+
 def test_html_scores_by_hand():
     page = html_extract.Lines()
     page.feed("<nav><a>home</a></nav><article><p>ten <b>chars</b></p><div class='ad'>buy</div></article>")
     page.finish()
     # A tag that ends a line counts to it: nav, a, /a, /nav; article, p, b, /b, /p; div, /div.
-    assert [(x.text, x.tags, x.linked, x.region, x.inside) for x in page.lines] == [("home", 4, 4, 0, True), ("ten chars", 5, 0, 1, False), ("buy", 2, 0, 1, True)]
-    assert html_extract.line_scores(page) == [0.0, 9 / 5, 0.0]
+    assert [(x.text, x.tags, x.linked, x.region, x.weight) for x in page.lines] == [("home", 4, 4, 0, html_extract.STRUCTURAL), ("ten chars", 5, 0, 1, 1.0), ("buy", 2, 0, 1, html_extract.NAMED)]
+    assert html_extract.line_scores(page) == [0.0, 9 / 5, html_extract.NAMED * 3 / 2]
     import math
 
     w = [math.exp(-d * d / 2) for d in range(3)]
