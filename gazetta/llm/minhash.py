@@ -13,9 +13,13 @@
    alternating large-star and small-star.
 4. What a forest left out matters only where one of its pairs was refused, and blocks saw only their own members and the
    heads. So in buckets of several blocks, or with a refused pair, that still hold several components, the members outside
-   the largest one meet all members of other components, in pairs of blocks, refused pairs aside. Again only forests leave
-   a task, and the steps repeat (with more forests each time) until no block has a likely link left. No bucket, partner or
-   candidate is capped, and the rows of every step are in proportion to the members.
+   the largest one meet all members, in pairs of blocks, refused pairs aside. As long as these outsiders are one block, that
+   is at most twice the members. Where they are more (texts of one template that are just not similar, say), members
+   are compared by their full sets instead: ordered rare members first (by SLOTS counters), similar sets share one of their
+   first members, of which the smaller set needs (1 - t) / (1 + t) of its size, less than what tells it from any set that
+   isn't similar. Classes that meet in such a member, the smaller one's share asking, form groups as buckets do. This is
+   exact, and rows follow the sets' sizes. Again only forests leave a task, and the steps repeat (with more forests each
+   time, less than half a block has members) until no block has a likely link left. Nothing is capped.
 5. Membership of classes and documents is joined back.
 
 With similarity 0.8, 240 minima in 40 bands of 6 miss a pair of exactly that similarity with probability 5e-6.
@@ -31,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,8 @@ BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Members of a block, on average, and members that all blocks of a bucket hold.
 BLOCK, HEADS = 512, 4
+#: Counters by which members of sets are told to be rare or common where full sets are compared by their rarest members.
+SLOTS = 1 << 16
 #: Bits of an odd sketch: a power of two, at least so many for each member of the set and at least so many in all.
 BITS, LEAST_BITS = 8, 512
 _rng = np.random.default_rng(8)
@@ -119,6 +126,37 @@ def _sets(k: int):
     return run
 
 
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many members of sets fall on each counter."""
+    counts = np.zeros(SLOTS, np.int64)
+    for b in batches:
+        for s in b.column("s"):
+            counts += np.bincount((np.frombuffer(s.as_buffer(), np.uint64) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], ["slot", "n"])
+
+
+def rarest(s: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The members of a set by which any similar set meets it, and how many of them suffice towards larger sets.
+
+    All sets are put into one order, rare members first. Of two similar sets the first common member stands among the
+    first n - ceil(t n) + 1 of either, and of the smaller one among the first n - ceil(2 t n / (1 + t)) + 1.
+    """
+    n = len(s)
+    ordered = s[np.lexsort((s, counts[(s % np.uint64(SLOTS)).astype(np.int64)]))]
+    return ordered[: n + (-percent * n) // 100 + 1], n + (-2 * percent * n) // (100 + percent) + 1
+
+
+def _rarest(counts, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, s in zip(b.column("id"), b.column("s"), strict=True):
+                first, few = rarest(np.frombuffer(s.as_buffer(), np.uint64), counts.value, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(first), pa.binary()), pa.array(first.view(np.int64)), pa.array(np.arange(len(first)) < few)], ["id", "key", "asks"])
+
+    return run
+
+
 def _similar(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -229,6 +267,7 @@ class Finder:
         self.rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("_text"))
         self.signed = self.save(self.rows.mapInArrow(common.tidy(_sign(shingle)), "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, sketch binary"), "signed")
         self.sets: list[DataFrame] = []
+        self.rarest: DataFrame | None = None
 
     def save(self, df: DataFrame, label: str) -> DataFrame:
         out, path = common.saved(df, label)
@@ -271,22 +310,48 @@ class Finder:
         each = placed.select("id", "comp", F.col("refused").isNotNull().alias("open"), F.inline("at"))
         inside = each.groupBy("band", "m", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("open"))
         mixed = inside.groupBy("band", "m").agg(F.max(F.struct("c", "comp")).alias("top"), F.max("open").alias("open"), F.count(F.lit(1)).alias("comps"))
-        mixed = mixed.where((F.col("comps") > 1) & (F.col("open") | (F.col("m") > BLOCK))).select("band", F.col("top.comp").alias("top"), F.ceil(F.col("m") / BLOCK).cast("int").alias("js"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("is"))
-        mixed = self.save(mixed, "mixed")
-        if mixed.isEmpty():
+        outside, blocks = F.col("m") - F.col("top.c"), lambda n: F.ceil(n / BLOCK).cast("int")
+        mixed = mixed.where((F.col("comps") > 1) & (F.col("open") | (F.col("m") > BLOCK)))
+        mixed = self.save(mixed.select("band", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("js"), blocks(outside).alias("is"), (outside > BLOCK).alias("many")), "mixed")
+        found, few, many = [], mixed.where("NOT many"), mixed.where("many")
+        columns = ["key", "js", "is", "id", "n", "sketch", "comp", "refused", "asks"]
+        if not few.isEmpty():
+            rows = placed.select("id", "n", "sketch", "comp", "refused", F.inline("at")).drop("m").join(few, "band")
+            found.append(rows.withColumns({"key": F.col("band"), "asks": F.col("comp") != F.col("top")}).select(columns))
+        if not many.isEmpty():
+            if self.rarest is None:
+                members = each.join(many.select("band").hint("merge"), "band", "left_semi").select("id").distinct()
+                self.rarest = self.save(self.rarest_members(self.save(members, "hot")), "rarest")
+            shared = self.rarest.join(placed.select("id", "comp").hint("merge"), "id").groupBy("key")
+            shared = shared.agg(blocks(F.count(F.lit(1))).alias("js"), blocks(F.count_if("asks")).alias("is"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            shared = self.save(shared.where((F.col("is") > 0) & (F.col("lo") != F.col("hi"))).select("key", "js", "is"), "meeting")
+            rows = self.rarest.join(shared.hint("merge"), "key").join(placed.select("id", "n", "sketch", "comp", "refused").hint("merge"), "id")
+            found.append(rows.select(columns))
+        if not found:
             return None
-        rows = placed.select("id", "n", "sketch", "comp", "refused", F.inline("at")).drop("m").join(mixed, "band")
-        part = lambda n: F.pmod(F.xxhash64("id", "band"), F.col(n)).cast("int")
+        met = [self.pairs_of_blocks(rows).groupBy("key", "i", "j").applyInArrow(_links(self.percent, tries), "a binary, b binary") for rows in found]
+        return reduce(DataFrame.unionByName, met).distinct()
+
+    @staticmethod
+    def pairs_of_blocks(rows: DataFrame) -> DataFrame:
+        """Members of groups (key) that ask, a block of them for each block of all members; js, is: how many blocks."""
+        part = lambda n: F.pmod(F.xxhash64("id", "key"), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        columns = ["band", "i", "j", "id", "n", "sketch", "comp", "refused", "asks"]
-        asking = rows.where("comp != top").withColumns({"i": part("is"), "asks": F.lit(True)}).withColumn("j", every("js")).select(columns)
+        columns = ["key", "i", "j", "id", "n", "sketch", "comp", "refused", "asks"]
+        asking = rows.where("asks").withColumn("i", part("is")).withColumn("j", every("js")).select(columns)
         asked = rows.withColumns({"j": part("js"), "asks": F.lit(False)}).withColumn("i", every("is")).select(columns)
-        return asking.unionByName(asked).groupBy("band", "i", "j").applyInArrow(_links(self.percent, tries), "a binary, b binary").distinct()
-
-    def verified(self, close: DataFrame) -> DataFrame:
-        """Pairs (a, b) of classes, with ok: whether they are similar by their full sets."""
-        close = self.save(close, "pairs")
-        wanted = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
+        return asking.unionByName(asked)
+
+    def rarest_members(self, wanted: DataFrame) -> DataFrame:
+        """id, key (a member of the set), asks: the members by which similar sets of wanted classes (id) must meet."""
+        sets = self.sets_of(wanted).join(wanted.hint("merge"), "id", "left_semi")
+        counts = np.zeros(SLOTS, np.int64)
+        for r in sets.mapInArrow(common.tidy(_slots), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
+            counts[r.column("slot").to_numpy()] = r.column("n").to_numpy()
+        return sets.mapInArrow(common.tidy(_rarest(self.spark.sparkContext.broadcast(counts), self.percent)), "id binary, key long, asks boolean")
+
+    def sets_of(self, wanted: DataFrame) -> DataFrame:
+        """id, s (full set) of the wanted classes, and of all others that are known; texts are read for new ones only."""
         for known in self.sets:
             wanted = wanted.join(known.select("id"), "id", "left_anti")
         # One document of each wanted class; null ids count as well.
@@ -295,9 +360,12 @@ class Finder:
         texts = self.rows.alias("t").join(common.sized(source.alias("s")), (F.col("t.text_key") == F.col("s.text_key")) & F.col("t.doc_id").eqNullSafe(F.col("s.doc_id"))).select("id", "_text")
         if not self.sets or not source.isEmpty():
             self.sets.append(self.save(texts.mapInArrow(common.tidy(_sets(self.k)), "id binary, s binary").groupBy("id").agg(F.first("s").alias("s")), "sets"))
-        every = self.sets[0]
-        for more in self.sets[1:]:
-            every = every.unionByName(more)
+        return reduce(DataFrame.unionByName, self.sets)
+
+    def verified(self, close: DataFrame) -> DataFrame:
+        """Pairs (a, b) of classes, with ok: whether they are similar by their full sets."""
+        close = self.save(close, "pairs")
+        every = self.sets_of(close.select(F.col("a").alias("id")).union(close.select("b")).distinct())
         pairs = close
         for side in ("a", "b"):
             pairs = pairs.join(every.select(F.col("id").alias(side), F.col("s").alias(f"s{side}")).hint("merge"), side, "left")

@@ -403,6 +403,69 @@ def test_minhash_large_group_of_near_copies(spark, monkeypatch):
         assert rows_of(minhash.near_duplicates(df, shingle=2), "doc_id", "n_shingles", "component_id") == brute_components(rows, 2, 80)
 
 
+def template_group(n, shared=70, own=15):
+    """Texts of one template with similarity 0.7 or so; the last two of them are near copies of others."""
+    rows = [(i, " ".join([f"t{k}" for k in range(shared)] + [f"o{i}x{k}" for k in range(own)])) for i in range(n)]
+    return [*rows, (n, rows[0][1] + " z"), (n + 1, rows[n // 2][1] + " y")]
+
+
+def test_minhash_of_one_template_grows_with_its_members(spark, monkeypatch):
+    """No step makes rows faster than the group grows, and the links are found."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    save, met, made = minhash.Finder.save, minhash.Finder.pairs_of_blocks, {}
+
+    def counted(self, df, label):
+        out = save(self, df, label)
+        counts[label] = counts.get(label, 0) + out.count()
+        return out
+
+    def counted_pairs(rows):
+        counts["pairs of blocks"] = counts.get("pairs of blocks", 0) + met(rows).count()
+        return met(rows)
+
+    monkeypatch.setattr(minhash.Finder, "save", counted)
+    monkeypatch.setattr(minhash.Finder, "pairs_of_blocks", staticmethod(counted_pairs))
+    for n in (200, 400):
+        counts = made[n] = {}
+        rows = template_group(n)
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
+        assert got == {i: {n: 0, n + 1: n // 2}.get(i, i) for i, _ in rows}
+    assert "rarest" in made[400]
+    assert {k: (made[200].get(k, 0), v) for k, v in made[400].items() if v > 2.6 * max(made[200].get(k, 0), 60)} == {}
+
+
+def test_similar_sets_share_a_rare_member():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    counts = rng.integers(0, 5, minhash.SLOTS)
+    for _ in range(2000):
+        n = int(rng.integers(1, 40))
+        both = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        x, y = (np.unique(np.concatenate((both, rng.integers(0, 1 << 63, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)))) for _ in "xy")
+        similar = 100 * n >= 80 * (len(x) + len(y) - n)
+        x, y = sorted((x, y), key=len)
+        (a, few), (b, _) = minhash.rarest(x, counts, 80), minhash.rarest(y, counts, 80)
+        assert not similar or len(np.intersect1d(a[:few], b))
+
+
+def thue_morse(n):
+    a = "a"
+    for _ in range(n):
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_are_told_apart(spark):
+    """Words that every polynomial hash modulo 2**64 takes for the same."""
+    a, b = thue_morse(10)
+    df = spark.createDataFrame([(1, f"x {a}"), (2, f"x {b}"), (3, f"x {a} "), (4, f"{a} y z u v"), (5, f"{b} y z u v")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, shingle=2).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+    items = spark.createDataFrame([(7, f"{b} y z u v")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.edits) for r in decontam.contaminated(df, items).orderBy("doc_id").collect()] == [(4, 7, 1), (5, 7, 0)]
+
+
 def test_minhash_recall_at_the_threshold():
     """Pairs of similarity 0.8 to 0.82 share a band key and pass the sketches, which never rule out a similar pair."""
     import numpy as np
