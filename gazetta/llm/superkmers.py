@@ -37,7 +37,7 @@ from gazetta.llm.textkernel import mix, word_hashes, words
 
 WINDOW, GRAM = 50, 10
 #: Bytes of text in a block, on average; strings of a bucket, on average; strings from which a minimiser is hot.
-BLOCK_BYTES, BUCKET, HOT = 4 << 20, 30_000, 30_000
+BLOCK_BYTES, BUCKET, HOT = 4 << 20, 8_000, 30_000
 #: Words that are cut at once, at least where a block has so many.
 STRETCH = 1 << 18
 _NO_ID = np.iinfo(np.int64).max
