@@ -6,7 +6,9 @@ more shard takes keys only into itself, 1/(n+1) of them at equal weights. Only t
 the row's rank inside its block (a hash range of the shard) plus the rows of earlier blocks, so no shard is in one task.
 
 Edge cases: a null key hashes as the empty string; a null text has no bytes (size 1) and the CRC of nothing, 0; repeated
-rows get different slots; other columns of the input pass through ``shard_records`` untouched.
+rows get different slots; very long texts only count their bytes; an empty table gives no rows; other columns of the input
+pass through ``shard_records`` untouched: where one has the name of the shard's column, that takes the next free name
+(``shard_1``, ...).
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ def rendezvous(key: Column, weights: list[float]) -> Column:
 
 
 def shard_records(docs: DataFrame, weights: list[float], key_col: str = "doc_id", out: str = "shard") -> DataFrame:
-    """docs with the shard of each row; narrow, nothing moves."""
+    """docs with the shard of each row in a new column; narrow, nothing moves."""
+    taken = {c.lower() for c in docs.columns}
+    out = next(name for i in range(len(taken) + 1) if (name := f"{out}_{i}" if i else out).lower() not in taken)
     return docs.withColumn(out, rendezvous(F.coalesce(F.col(key_col).cast("string"), F.lit("")), weights))
 
 

@@ -1,20 +1,20 @@
 """WARC archives with a merged capture index.
 
-Writing: pages are ordered into runs; a run is the list of records of one output file. Of records with equal payloads
-(by SHA-1, of at least ``revisit_from`` bytes) the one with the smallest page_id is a response, the others are revisit
-records that name its record id. Spark's text writer writes the archives: each row is a record up to its last line feed,
-which is the row separator, so a file's bytes are exactly its records, one after the other, in gzip.
+Writing: a run is the list of records of one output file. Of records with equal payloads (by SHA-1, of at least
+``revisit_from`` bytes) the one with the smallest page_id is a response, the others are revisit records that name its record
+id. Spark's text writer writes the archives: each row is a record up to its last line feed, which is the row separator, so a
+file's bytes are exactly its records, one after the other, in gzip. Pages are written by classes of size (a folder each), so
+that every archive's bytes are bounded while long pages don't make the archives of the others small.
 
 Reading: every archive is parsed by Content-Length as a stream, which gives a *capture run* of each archive, locally
 sorted by (URL key, timestamp, page_id), and packed into blocks by range of the URL key. The external index merge takes,
-for each range, the runs' sorted blocks through a k-way loser tree: the ranges in order are one global capture history.
-The ranges come from a sample of keys that grows with the number of captures; every record is indexed. A task of the merge
-holds a range, some ROWS_PER_PART captures without their payloads.
+for each range, the runs' sorted blocks, as they are and each read as it is needed, through a k-way loser tree: the ranges
+in order are one global capture history. The ranges come from a sample of keys that grows with the number of captures; every
+record is indexed. A task of the merge holds a range, some ROWS_PER_PART captures without their payloads.
 
 Edge cases: a null page is an empty payload; a null url has the empty key; repeated rows with one page_id and payload are
 all responses, or all revisits of the same response; rows without a page_id are responses (no id can name them); an empty
-table gives no archive and no rows; very long pages are single records, and archives hold fewer records the longer the
-longest page is; other columns are not looked at.
+table gives no archive and no rows; very long pages are archives by themselves; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 
 from gazetta.llm import common
 
-#: Pages and payload bytes of an archive at most (a longer page is an archive by itself).
+#: Pages and payload bytes of an archive at most (a longer page is an archive by itself), and the sizes that part classes.
 RECORDS, ARCHIVE_BYTES = 1000, 1 << 29
+CLASSES = (1 << 19, 1 << 22, 1 << 25)
 #: Keys that are looked at for the ranges of the merge: so many at least, and so many for each range.
 KEY_SAMPLE, KEYS_PER_PART = 20_000, 8
 #: Captures that a task of the merge holds, on average.
@@ -175,9 +176,17 @@ def write_archives(pages: DataFrame, path: str, revisit_from: int = 0) -> None:
     # Only digests that occur twice are looked up again; partial minima come before the shuffle, Spark splits hot digests.
     first = known.where(F.col("size") >= revisit_from).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     joined = known.join(first, "digest", "left").withColumn("refers_to", F.when(F.col("page_id") != F.col("first_id"), F.col("first_id")))
-    longest = known.agg(F.max("size")).first()[0] or 0
-    each = max(1, min(RECORDS, ARCHIVE_BYTES // max(1, longest)))
-    joined.mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", each).text(path)
+    present = known.agg(*(F.count_if(_of_class(k)).alias(str(k)) for k in range(len(CLASSES) + 1))).first()
+    for k, bound in enumerate([*CLASSES, ARCHIVE_BYTES]):
+        if present[k] or (k == 0 and not any(present)):
+            made = joined.where(_of_class(k)).mapInArrow(_records, "record binary").select(F.col("record").cast("string").alias("value"))
+            made.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", max(1, min(RECORDS, ARCHIVE_BYTES // bound))).text(f"{path}/class={k}")
+
+
+def _of_class(k: int):
+    """Whether a page's size is in a class: above all smaller bounds, up to its own (the last class has none)."""
+    inside = F.col("size") > (CLASSES[k - 1] if k else -1)
+    return inside & (F.col("size") <= CLASSES[k]) if k < len(CLASSES) else inside
 
 
 # Columns of the capture index.
@@ -212,21 +221,36 @@ def _captures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([dict(zip(CAPTURE.names, x, strict=True)) for x in run], schema=CAPTURE)
 
 
+_BLOCK = pa.schema([("part", pa.int32()), ("captures", pa.list_(pa.struct(CAPTURE)))])
+
+
 def _parts(bounds: list[tuple]):
+    """Cuts sorted runs into sorted blocks, one for each range they touch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = zip(*(b.column(c).to_pylist() for c in ("url_key", "timestamp", "page_id")), strict=True)
-            yield b.append_column("part", pa.array([bisect_right(bounds, (u, t, i or 0)) for u, t, i in keys], pa.int32()))
+            # A row without an id comes after all ids of its key and time.
+            of = list(zip((bisect_right(bounds, (u, t, i is None, i or 0)) for u, t, i in keys), b.column("archive").to_pylist(), strict=True))
+            rows = pa.StructArray.from_arrays([b.column(c) for c in CAPTURE.names], fields=list(CAPTURE))
+            cuts = [0, *(i for i in range(1, len(of)) if of[i] != of[i - 1]), len(of)]
+            blocks = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rows)
+            yield pa.RecordBatch.from_arrays([pa.array([of[i][0] for i in cuts[:-1]], pa.int32()), blocks], schema=_BLOCK)
 
     return run
 
 
+def _block(captures: pa.ListScalar) -> Iterator[tuple]:
+    """(sort key, capture) of a sorted block, some at a time."""
+    rows = captures.values
+    for at in range(0, len(rows), 256):
+        for x in rows.slice(at, 256).to_pylist():
+            row = tuple(x.values())
+            yield _order(row), row
+
+
 def _merge(key: tuple, group: pa.Table) -> pa.Table:
-    runs: dict[str, list[tuple]] = {}
-    for x in zip(*(group.column(c).to_pylist() for c in CAPTURE.names), strict=True):
-        runs.setdefault(x[7], []).append(x)
-    keyed = [iter(sorted((_order(x), x) for x in runs[name])) for name in sorted(runs)]  # sorted runs stay as they are
-    merged = [x for _, x in LoserTree(keyed)]
+    merged = [x for _, x in LoserTree([_block(c) for c in group.column("captures")])]
     out = pa.Table.from_pylist([dict(zip(CAPTURE.names, x, strict=True)) for x in merged], schema=CAPTURE)
     return out.append_column("part", pa.array([key[0].as_py()] * len(merged), pa.int32())).append_column("rank", pa.array(range(len(merged)), pa.int64()))
 
@@ -239,10 +263,11 @@ def capture_index(spark: SparkSession, path: str, rows_per_part: int = ROWS_PER_
     n = runs.count()
     # Bounds of the ranges, from a sample by hash; (key, time, id) splits one URL's long history too.
     parts = max(1, -(-n // rows_per_part))
-    sampled = runs.where(F.pmod(F.xxhash64("page_id", "offset"), F.lit(max(1, n // max(KEY_SAMPLE, KEYS_PER_PART * parts)))) == 0).select("url_key", "timestamp", F.coalesce("page_id", F.lit(0)).alias("page_id"))
-    keys = sorted(map(tuple, sampled.collect())) if n > rows_per_part else []
+    sampled = runs.where(F.pmod(F.xxhash64("page_id", "offset"), F.lit(max(1, n // max(KEY_SAMPLE, KEYS_PER_PART * parts)))) == 0)
+    keys = sorted(map(tuple, sampled.select("url_key", "timestamp", F.col("page_id").isNull(), F.coalesce("page_id", F.lit(0))).collect())) if n > rows_per_part else []
     bounds = [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
-    return runs.mapInArrow(_parts(bounds), _COLUMNS + ", part int").groupBy("part").applyInArrow(_merge, _COLUMNS + ", part int, rank long")
+    blocks = runs.mapInArrow(_parts(bounds), f"part int, captures array<struct<{', '.join(c.replace(' ', ':') for c in _COLUMNS.split(', '))}>>")
+    return blocks.groupBy("part").applyInArrow(_merge, _COLUMNS + ", part int, rank long")
 
 
 def archived(pages: DataFrame, path: str, revisit_from: int = 0) -> DataFrame:

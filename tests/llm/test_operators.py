@@ -125,8 +125,9 @@ def test_pii_spans(spark, docs, local, nothing):
     fuzz = [(i, "".join(rng.choice(bits) for _ in range(rng.choice([4, 25, 90])))) for i in range(20_000, 20_600)]
     fuzz += [(30_000, "a@" + "b." * 2_000 + "c"), (30_001, "1 " * 3_000), (30_002, "+" * 500 + "1" * 20)]
     every = docs.select("doc_id", "text").unionByName(spark.createDataFrame(fuzz, "doc_id long, text string"))
-    want = [(i, hashlib.sha256(base_spans(t or "").encode()).hexdigest()) for i, t in local + fuzz]
-    assert rows_of(pii.digest(pii.find_personal_data(every)), "doc_id", "base_sha256") == sorted(want, key=repr)
+    told = [(i, base_spans(t or "")) for i, t in local + fuzz]
+    want = [(i, hashlib.sha256(x.encode()).hexdigest(), *(x.count(f"{k}:") for k in ("email", "ip", "card", "phone"))) for i, x in told]
+    assert rows_of(pii.digest(pii.find_personal_data(every)), "doc_id", "base_sha256", "n_email", "n_ip", "n_card", "n_phone") == sorted(want, key=repr)
     assert pii.digest(pii.find_personal_data(nothing)).count() == 0
 
 
@@ -198,6 +199,8 @@ def test_sharding(spark, docs, local, nothing):
     keys = spark.range(20_000).withColumn("shard", F.lit("clash"))
     n = {r.s: r["count"] for r in sharding.shard_records(keys, [1.0, 3.0, 0.0], "id", "s").groupBy("s").count().collect()}
     assert set(n) == {0, 1} and 0.72 < n[1] / 20_000 < 0.78
+    clash = sharding.shard_records(keys.limit(3).withColumn("Shard_1", F.lit("too")), [1.0], "id")
+    assert clash.columns == ["id", "shard", "Shard_1", "shard_2"] and [tuple(r)[1:] for r in clash.collect()] == [("clash", "too", 0)] * 3
 
 
 def test_language_id(spark, docs, nothing):
@@ -338,6 +341,25 @@ def test_warc(spark, tmp_path):
     assert keys == sorted(keys) and len({r.part for r in index}) > 3
     empty = warc.archived(pages.where("false"), str(tmp_path / "e"))
     assert empty.count() == 0
+    # Rows without an id and repeated rows; and one long page, which takes no place from the archives of the others.
+    odd = [(None, "http://a.org", "x" * 50), (None, "http://a.org", "x" * 50), (7, "http://a.org", "x" * 50), (7, "http://a.org", "x" * 50), (8, None, "y" * 9_000_000), *((i, "http://b.org", f"z{i}") for i in range(20, 60))]
+    got = warc.archived(spark.createDataFrame(odd, "page_id long, url string, html string").coalesce(1), str(tmp_path / "o")).collect()
+    told = sorted(((r.page_id, r.record_type, r.refers_to) for r in got if (r.page_id or 0) < 20), key=repr)
+    assert told == sorted([(None, "response", None)] * 2 + [(7, "response", None)] * 2 + [(8, "response", None)], key=repr)
+    assert len({r.archive for r in got}) == 2 and len(got) == len(odd)
+
+
+def test_merge_reads_sorted_blocks(monkeypatch):
+    """Blocks go through the loser tree as they are, a few captures of each at a time."""
+    import pyarrow as pa
+
+    capture = lambda k, a: dict(zip(warc.CAPTURE.names, (f"u{k:03d}", "t", k, 1, "d", "response", None, a, k), strict=True))
+    runs = [[capture(k, a) for k in range(i, 900, 3)] for i, a in enumerate("xyz")]
+    table = pa.table({"part": pa.array([0] * 3, pa.int32()), "captures": pa.array(runs, warc._BLOCK.field("captures").type)}, schema=warc._BLOCK)
+    out = warc._merge((pa.scalar(0),), table)
+    assert out.column("page_id").to_pylist() == list(range(900)) == out.column("rank").to_pylist()
+    first = warc._block(table.column("captures")[0])
+    assert next(first)[1][2] == 0 and next(first)[1][2] == 3
 
 
 def test_loser_tree():
@@ -658,24 +680,116 @@ def test_edit_distance():
     assert decontam.edit_distance([1, 2, 3], [4, 5], 1) is None
 
 
+def brute_letters(text):
+    import unicodedata
+
+    s = re.sub(r"[\W\d_]+", " ", unicodedata.normalize("NFC", text or "").lower()).strip()
+    return s.encode() if any(c.isalpha() for c in s) else b""
+
+
+def brute_dictionaries(spark, df):
+    """The first rows of each language by hash, short ones first, until they come to the dictionary's size."""
+    rows = df.where("lang IS NOT NULL AND octet_length(text) > 0").select("lang", "text", "doc_id", F.xxhash64("doc_id", F.octet_length("text")).alias("h")).collect()
+    out = {}
+    for lang in {r.lang for r in rows}:
+        taught = []
+        for r in sorted((r for r in rows if r.lang == lang and zlib.crc32(str(r.doc_id).encode()) % 4 != 2 or (r.lang == lang and r.doc_id is None)), key=lambda r: (len(r.text.encode()) > 16384, r.h))[:200]:
+            if sum(map(len, taught)) < 96 * 1024:
+                taught.append(brute_letters(r.text))
+        out[lang] = b" ".join(filter(None, taught))
+    return {k: v for k, v in out.items() if v}
+
+
+def brute_language(dictionaries, text):
+    import zstandard
+
+    s, sizes = brute_letters(text), []
+    if not s:
+        return "und", 0.0
+    for lang in sorted(dictionaries):
+        known = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        coder = zstandard.ZstdCompressor(level=6, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
+        sizes.append((sum(len(coder.compress(s[i : i + 4096])) for i in range(0, len(s), 4096)), lang))
+    (best, lang), (second, _) = sorted(sizes)[:2]
+    return lang, (second - best) / second
+
+
+def test_language_by_brute_force(spark):
+    big = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(big, langid.train(big.where(~langid.held_out()))).collect()}
+    known = brute_dictionaries(spark, big)
+    assert got == {r.doc_id: brute_language(known, r.text) for r in big.collect()}
+
+
+def brute_leak(item, text):
+    """Whether a passage of text is within a fifth of the item's words, by the whole table of edit distances."""
+    import numpy as np
+
+    row = np.zeros(len(text) + 1, np.int64)
+    place = np.arange(len(text) + 1)
+    for i, a in enumerate(item, 1):
+        now = row + 1
+        now[0] = i
+        now[1:] = np.minimum(now[1:], row[:-1] + np.array([b != a for b in text], bool))
+        row = np.minimum.accumulate(now - place) + place
+    return len(item) > 0 and row.min() <= int(0.2 * len(item))
+
+
 def test_pipeline(spark):
+    """All five stages against brute-force versions, on rows that are odd in every way."""
     import corpus_pipeline
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    out = corpus_pipeline.run(spark, SF).collect()
-    # By brute force, from the language stage's own decisions on.
-    kept = [(r.doc_id, r.text) for r in corpus_pipeline.identify_language(spark, docs, SF).collect()]
-    norm = {}
-    for i, t in sorted(kept):
-        norm.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t), (i, t))
-    alive = sorted(norm.values())
-    alive = [x for x, (d, _, c) in zip(alive, sorted(brute_components(alive, 5, 80)), strict=True) if d == c]
-    bench = [(r.item_id, decontam.Matcher([0], [r.text]).items[0].tolist()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    for i, t in alive:
-        w = next(decontam.sequences(pa.array([t])))[1].tolist()
-        hit = any(decontam.edit_distance(b, w, decontam.allowed(len(b))) for _, b in bench)
-        assert hit != any(r.doc_id == i for r in out)
-    assert {r.doc_id for r in out} <= {i for i, _ in alive} and len(out) > 100
+    import tiktoken
+    import public_tokenizers
+
+    real = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    long = " ".join(t for _, t, lang, *_ in real if lang == "en")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    odd = [(9001, None, "en", "s", 1), (9002, "", None, None, None), (9003, "12 34 !", "en", "s", 1), (9004, long, "en", "s", 9), (9005, long + " and more of it", "en", "s", 9), (None, long + " once more", None, None, None)]
+    odd += [real[3], (real[3][0], "The other text that has the id of another row and is not like it.", "en", None, 3), (9006, real[5][1].replace(" ", "\t\n"), "en", "s", 3), (9007, real[7][1] + " " + item + " " + real[9][1], "en", "s", 4)]
+    names = "doc_id long, text string, lang string, source string, n_chars long, row string, text_key long, score string, `group` int, _text string, kept boolean"
+    docs = spark.createDataFrame([(*r, "clash", 1, "c", 2, "t", True) for r in real + odd], names).repartition(3)
+    out = docs
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, SF)
+    columns = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    got = rows_of(out, *columns)
+    # Language.
+    known = brute_dictionaries(spark, docs)
+    rows = [(i, t, lang) for i, t, lang, *_ in real + odd]
+    told = [brute_language(known, t) for _, t, _ in rows]
+    rows = [(i, t) for (i, t, _), (lang, score) in zip(rows, told, strict=True) if lang != "und" and score >= 0.002]
+    # Exact copies, then near copies: the smallest id stays, null being the largest.
+    size = lambda x: (x[0] is None, x[0] or 0)
+    first = {}
+    for x in sorted(rows, key=size):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", x[1]), x)
+    rows = list(first.values())
+    sets = [frozenset(zip(*(w[k:] for k in range(5)), strict=False)) if len(w := re.sub("[A-Z]", lambda m: m[0].lower(), t).split()) >= 5 else frozenset([tuple(w)] * bool(w)) for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                lo, hi = sorted((root[a], root[b]))
+                root = [lo if x == hi else x for x in root]
+    rows = [min((rows[k] for k in range(len(rows)) if root[k] == r), key=size) for r in set(root)]
+    # Passages of the benchmark.
+    words = lambda t: re.findall(r"[^\x00-/:-@\[-`{-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    items = [words(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = [(i, t) for i, t in rows if not any(brute_leak(b, words(t)) for b in items)]
+    # Tokens.
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(x.split()[0]): int(x.split()[1]) for x in open(path, "rb").read().splitlines() if x}
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for i, t in rows:
+        ids = library.encode_ordinary(t)
+        want.append((i, len(ids), hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in ids)).hexdigest(), hashlib.sha256(t.encode()).hexdigest()))
+    assert got == sorted(want, key=repr) and len(got) > 100
+    assert {9001, 9002, 9003, 9005, 9006, 9007}.isdisjoint(x[0] for x in got)
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, SF)
+    assert empty.count() == 0
 
 
 def test_sql_of_queries(spark):
@@ -684,7 +798,7 @@ def test_sql_of_queries(spark):
     from gazetta.llm import queries
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         want, got = con.sql(sql), queries.queries()[name](spark, SF)
