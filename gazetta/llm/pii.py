@@ -157,12 +157,21 @@ def disclosing_terms(docs: DataFrame, units: DataFrame, n_texts: int, disclosure
     held = held.join(n_t, "term", "left").withColumn("n_t", F.coalesce("n_t", F.lit(1)))
     # As n(e,t) <= n(e), the threshold can be reached up to this n(t) only; the margin is for rounding.
     most = F.pow(F.col("n_e").cast("double"), F.lit(disclosure)) * float(max(n_texts, 1)) ** (1 - disclosure) * (1 + 1e-9)
-    pairs, _ = common.saved(shown.join(n_e, "entity").withColumn("most", most).join(held, "key").where("n_t <= most").drop("most"), "pairs")
+    content = lambda n_e: F.log2(F.lit(float(n_texts)) / n_e)
+    told = shown.join(n_e, "entity").withColumn("most", most)
+    # A term that stands in one text alone tells every entity of it (PMI = IC); and the entities that stand in one text alone
+    # are told alike by its terms. So these don't meet: the former are flagged as they are, of the latter one is looked at.
+    some = told.groupBy("key").agg(F.max("most").alias("most"))
+    alone = held.where("n_t = 1").join(some, "key").select("key", "term", F.lit(1.0).alias("share"))
+    several = held.where("n_t > 1").join(some, "key").where("n_t <= most").drop("most")
+    first = told.where("n_e = 1").groupBy("key").agg(F.min("entity").alias("entity"), F.first("n_e").alias("n_e"), F.first("most").alias("most"))
+    looked_at = told.where("n_e > 1").select("key", "entity", "n_e", "most").unionByName(first)
+    pairs, _ = common.saved(looked_at.join(several, "key").where("n_t <= most").drop("most"), "pairs")
     both = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
-    content = F.log2(F.lit(float(n_texts)) / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * F.lit(float(n_texts)) / (F.col("n_e") * F.greatest("n_t", "n_et")))
-    flagged = both.select("entity", "term", (pmi / content).alias("share")).where(F.col("share") >= disclosure)
-    return pairs.select("key", "entity", "term").join(flagged, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+    flagged = both.select("entity", "term", (pmi / content(F.col("n_e"))).alias("share")).where(F.col("share") >= disclosure)
+    met = pairs.select("key", "entity", "term").join(flagged, ["entity", "term"]).select("key", "term", "share")
+    return met.unionByName(alone).groupBy("key", "term").agg(F.max("share").alias("share"))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, keep_text: bool = False) -> DataFrame:
