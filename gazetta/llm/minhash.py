@@ -13,8 +13,8 @@
    alternating large-star and small-star.
 4. What a forest left out matters only where one of its pairs was refused, and blocks saw only their own members and the
    heads. So in buckets of several blocks, or with a refused pair, that still hold several components, the members outside
-   the largest one meet all members, in pairs of blocks, refused pairs aside. As long as these outsiders are one block, that
-   is at most twice the members. Where they are more (texts of one template that are just not similar, say), members
+   the largest one meet all members, in pairs of blocks, refused pairs aside. As long as these outsiders are OUTSIDE blocks at
+   most, a member has 2 * OUTSIDE rows at most. Where they are more (texts of one template that are just not similar, say), members
    are compared by their full sets instead: ordered rare members first (by SLOTS counters), similar sets share one of their
    first members, of which the smaller set needs (1 - t) / (1 + t) of its size, less than what tells it from any set that
    isn't similar. Classes that meet in such a member, the smaller one's share asking, form groups as buckets do. This is
@@ -50,6 +50,9 @@ BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 #: Members of a block, on average, and members that all blocks of a bucket hold.
 BLOCK, HEADS = 512, 4
+#: Blocks of members outside a bucket's largest component up to which they meet all its members in pairs of blocks: 16 rows a
+#: member at most.
+OUTSIDE = 8
 #: Counters by which members of sets are told to be rare or common where full sets are compared by their rarest members.
 SLOTS = 1 << 16
 #: Bits of an odd sketch: a power of two, at least so many for each member of the set and at least so many in all.
@@ -312,7 +315,7 @@ class Finder:
         mixed = inside.groupBy("band", "m").agg(F.max(F.struct("c", "comp")).alias("top"), F.max("open").alias("open"), F.count(F.lit(1)).alias("comps"))
         outside, blocks = F.col("m") - F.col("top.c"), lambda n: F.ceil(n / BLOCK).cast("int")
         mixed = mixed.where((F.col("comps") > 1) & (F.col("open") | (F.col("m") > BLOCK)))
-        mixed = self.save(mixed.select("band", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("js"), blocks(outside).alias("is"), (outside > BLOCK).alias("many")), "mixed")
+        mixed = self.save(mixed.select("band", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("js"), blocks(outside).alias("is"), (outside > OUTSIDE * BLOCK).alias("many")), "mixed")
         found, few, many = [], mixed.where("NOT many"), mixed.where("many")
         columns = ["key", "js", "is", "id", "n", "sketch", "comp", "refused", "asks"]
         if not few.isEmpty():

@@ -419,7 +419,8 @@ def test_minhash_large_group_of_near_copies(spark, monkeypatch):
     r = [f"r{i}" for i in range(80)]
     rows += [(2000, " ".join(["a"] * 1 + ["b", "c", "d"] + r[4:])), (None, " ".join(r)), (2001, " ".join([*r[:76], "e", "f", "g", "h"]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for block, heads in ((512, 4), (16, 2), (16, 0)):
+    for block, heads, outside in ((512, 4, 8), (16, 2, 8), (16, 0, 1)):
+        monkeypatch.setattr(minhash, "OUTSIDE", outside)
         monkeypatch.setattr(minhash, "BLOCK", block)
         monkeypatch.setattr(minhash, "HEADS", heads)
         assert rows_of(minhash.near_duplicates(df, shingle=2), "doc_id", "n_shingles", "component_id") == brute_components(rows, 2, 80)
@@ -434,6 +435,7 @@ def template_group(n, shared=70, own=15):
 def test_minhash_of_one_template_grows_with_its_members(spark, monkeypatch):
     """No step makes rows faster than the group grows, and the links are found."""
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "OUTSIDE", 1)
     save, met, made = minhash.Finder.save, minhash.Finder.pairs_of_blocks, {}
 
     def counted(self, df, label):
