@@ -7,7 +7,8 @@ runs g*f .. g*f+f-1 of a bucket are merged into run g. A merge keeps, for each d
 the counts, and verifies that entries of one digest agree on the byte length.
 
 Edge cases: a null text counts as empty; a null doc_id sorts after all others, so it is kept only where every id of its
-group is null; an empty table gives no rows; other columns are not looked at. drop_exact_copies drops rows, not ids: a row
+group is null; very long texts are digested whole; an empty table gives no rows; other columns are not looked at.
+drop_exact_copies drops rows, not ids: a row
 that shares its doc_id with a copy stays if its own text is the first of its kind, and of repeated rows one stays.
 """
 

@@ -11,15 +11,15 @@
    rules out nothing that is similar.
 3. The pairs of the forests are verified on the full sets, read again from the texts; links give components, by
    alternating large-star and small-star.
-4. What a forest left out matters only where one of its pairs was refused, and blocks saw only their own members and the
-   heads. So in buckets of several blocks, or with a refused pair, that still hold several components, the members outside
-   the largest one meet all members, in pairs of blocks, refused pairs aside. As long as these outsiders are OUTSIDE blocks at
+4. What a forest left out matters only where one of its own pairs was refused, and blocks saw only their own members and
+   the heads. So in buckets of several blocks, or that told a refused pair, and that still hold several components, the
+   members outside the largest one meet all members, in pairs of blocks, refused pairs aside. As long as these outsiders are OUTSIDE blocks at
    most, a member has 2 * OUTSIDE rows at most. Where they are more (texts of one template that are just not similar, say), members
    are compared by their full sets instead: ordered rare members first (by SLOTS counters), similar sets share one of their
    first members, of which the smaller set needs (1 - t) / (1 + t) of its size, less than what tells it from any set that
    isn't similar. Classes that meet in such a member, the smaller one's share asking, form groups as buckets do. This is
-   exact, and rows follow the sets' sizes. Again only forests leave a task, and the steps repeat (with more forests each
-   time, less than half a block has members) until no block has a likely link left. Nothing is capped.
+   exact, and rows follow the sets' sizes. Again only forests leave a task, and the step repeats in the groups that told a
+   refused pair (with more forests each time, less than half a block has members) until there are none. Nothing is capped.
 5. Membership of classes and documents is joined back.
 
 With similarity 0.8, 240 minima in 40 bands of 6 miss a pair of exactly that similarity with probability 5e-6.
@@ -254,11 +254,14 @@ def _links(percent: int, tries: int):
             x, y, distance = x[good], y[good], distance[good]
         edges = forests(x, y, distance, comp, tries)
         pairs = [(max(ids[i], ids[j]), min(ids[i], ids[j])) for i, j in zip(x[edges].tolist(), y[edges].tolist(), strict=True)]
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+        return pa.table({"key": pa.array([key[0].as_py()] * len(pairs), pa.int64()), "a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
 
     return run
 
 
+LINKS = "key long, a binary, b binary"
+
+
 class Finder:
     """The steps over one table of documents. Joins of tables that grow with it are merge joins at every size: one plan, that
     small tables show as it is on large ones. Only what fetches the texts of wanted classes is broadcast if it is counted to
@@ -270,7 +273,6 @@ class Finder:
         self.rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("_text"))
         self.signed = self.save(self.rows.mapInArrow(common.tidy(_sign(shingle)), "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, sketch binary"), "signed")
         self.sets: list[DataFrame] = []
-        self.rarest: DataFrame | None = None
 
     def save(self, df: DataFrame, label: str) -> DataFrame:
         out, path = common.saved(df, label)
@@ -302,38 +304,47 @@ class Finder:
         rows = classes.select("id", "n", "sketch", F.inline("at")).select("id", "n", "sketch", "band", block)
         rows = rows.unionByName(classes.select("id", "n", "sketch").join(heads, "id"))
         rows = rows.withColumns({"asks": F.lit(True), "comp": F.lit(None).cast("binary"), "refused": F.array().cast("array<binary>")})
-        return rows.groupBy("band", "block").applyInArrow(_links(self.percent, 1), "a binary, b binary").distinct()
-
-    def across(self, classes: DataFrame, linked: DataFrame, refused: DataFrame, tries: int) -> DataFrame | None:
-        """Likely links of members outside their bucket's largest component, where not all pairs were seen or one was refused."""
-        both = refused.select("a", "b").unionByName(refused.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        partners = self.save(both.groupBy(F.col("a").alias("id")).agg(F.collect_set("b").alias("refused")), "refused")
-        placed = classes.join(linked.withColumnsRenamed({"node": "id", "component": "comp"}).hint("merge"), "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(partners, "id", "left")
-        placed = self.save(placed, "placed")
-        each = placed.select("id", "comp", F.col("refused").isNotNull().alias("open"), F.inline("at"))
-        inside = each.groupBy("band", "m", "comp").agg(F.count(F.lit(1)).alias("c"), F.max("open").alias("open"))
-        mixed = inside.groupBy("band", "m").agg(F.max(F.struct("c", "comp")).alias("top"), F.max("open").alias("open"), F.count(F.lit(1)).alias("comps"))
-        outside, blocks = F.col("m") - F.col("top.c"), lambda n: F.ceil(n / BLOCK).cast("int")
-        mixed = mixed.where((F.col("comps") > 1) & (F.col("open") | (F.col("m") > BLOCK)))
-        mixed = self.save(mixed.select("band", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("js"), blocks(outside).alias("is"), (outside > OUTSIDE * BLOCK).alias("many")), "mixed")
-        found, few, many = [], mixed.where("NOT many"), mixed.where("many")
-        columns = ["key", "js", "is", "id", "n", "sketch", "comp", "refused", "asks"]
-        if not few.isEmpty():
-            rows = placed.select("id", "n", "sketch", "comp", "refused", F.inline("at")).drop("m").join(few, "band")
-            found.append(rows.withColumns({"key": F.col("band"), "asks": F.col("comp") != F.col("top")}).select(columns))
-        if not many.isEmpty():
-            if self.rarest is None:
-                members = each.join(many.select("band").hint("merge"), "band", "left_semi").select("id").distinct()
-                self.rarest = self.save(self.rarest_members(self.save(members, "hot")), "rarest")
-            shared = self.rarest.join(placed.select("id", "comp").hint("merge"), "id").groupBy("key")
-            shared = shared.agg(blocks(F.count(F.lit(1))).alias("js"), blocks(F.count_if("asks")).alias("is"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            shared = self.save(shared.where((F.col("is") > 0) & (F.col("lo") != F.col("hi"))).select("key", "js", "is"), "meeting")
-            rows = self.rarest.join(shared.hint("merge"), "key").join(placed.select("id", "n", "sketch", "comp", "refused").hint("merge"), "id")
-            found.append(rows.select(columns))
-        if not found:
-            return None
-        met = [self.pairs_of_blocks(rows).groupBy("key", "i", "j").applyInArrow(_links(self.percent, tries), "a binary, b binary") for rows in found]
-        return reduce(DataFrame.unionByName, met).distinct()
+        return rows.groupBy("band", "block").applyInArrow(_links(self.percent, 1), LINKS)
+
+    def slots(self, classes: DataFrame, linked: DataFrame, missed: DataFrame) -> list[DataFrame]:
+        """Members (key, id, asks) of the groups in which links may have been missed between components: buckets of several
+        blocks, or of a refused pair (missed: their keys); and what members of buckets with many outsiders meet by."""
+        each = classes.select("id", F.inline("at")).join(linked.withColumnsRenamed({"node": "id", "component": "comp"}).hint("merge"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        inside = each.groupBy("band", "m", "comp").agg(F.count(F.lit(1)).alias("c"))
+        mixed = inside.groupBy("band", "m").agg(F.max("c").alias("c"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        mixed = mixed.join(missed.select(F.col("key").alias("band"), F.lit(True).alias("missed")).hint("merge"), "band", "left").where((F.col("m") > BLOCK) | F.col("missed"))
+        mixed = self.save(mixed.select("band", (F.col("m") - F.col("c") > OUTSIDE * BLOCK).alias("many")), "mixed")
+        held = self.save(each.select("band", "id").join(mixed.hint("merge"), "band"), "held")
+        out = [self.save(held.where("NOT many").select(F.col("band").alias("key"), "id", F.lit(None).cast("boolean").alias("asks")), "slots")]
+        if not mixed.where("many").isEmpty():
+            out.append(self.save(self.rarest_members(self.save(held.where("many").select("id").distinct(), "hot")), "rarest"))
+        return out
+
+    def across(self, classes: DataFrame, slots: list[DataFrame], linked: DataFrame, refused: DataFrame, tries: int) -> DataFrame | None:
+        """Likely links (with the key of their group) between components of each group."""
+        found, blocks = [], lambda n: F.ceil(n / BLOCK).cast("int")
+        for rows in slots:
+            if rows.isEmpty():
+                continue
+            ids = rows.select("id").distinct()
+            both = refused.select(F.col("a").alias("id"), F.col("b").alias("of")).unionByName(refused.select(F.col("b").alias("id"), F.col("a").alias("of")))
+            partners = both.join(ids.hint("merge"), "id", "left_semi").groupBy("id").agg(F.collect_set("of").alias("refused"))
+            placed = classes.select("id", "n", "sketch").join(ids.hint("merge"), "id", "left_semi").join(linked.withColumnsRenamed({"node": "id", "component": "comp"}).hint("merge"), "id", "left")
+            placed = self.save(placed.withColumn("comp", F.coalesce("comp", "id")).join(partners.hint("merge"), "id", "left"), "placed")
+            inside = rows.join(placed.select("id", "comp").hint("merge"), "id").groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.count_if("asks").alias("ask"), F.max(F.col("asks").isNull()).alias("bucket"))
+            groups = inside.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"), F.sum("ask").alias("ask"), F.max("bucket").alias("bucket"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+            # In a bucket those outside its largest component ask, in other groups those whose share says so.
+            asking = F.when(F.col("bucket"), F.col("m") - F.col("top.c")).otherwise(F.col("ask"))
+            groups = self.save(groups.select("key", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("js"), blocks(asking).alias("is")).where(F.col("is") > 0), "groups")
+            met = rows.join(groups.hint("merge"), "key").join(placed.hint("merge"), "id").withColumn("asks", F.coalesce("asks", F.col("comp") != F.col("top")))
+            found.append(self.pairs_of_blocks(met).groupBy("key", "i", "j").applyInArrow(_links(self.percent, tries), LINKS))
+        return reduce(DataFrame.unionByName, found) if found else None
+
+    def looked_at(self, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What verified() tells of links, and the keys of the groups of refused ones: only there may others be missed."""
+        links = self.save(links, "links")
+        told = self.verified(links.select("a", "b").distinct())
+        return told, self.save(links.join(told.where("NOT ok").select("a", "b").hint("merge"), ["a", "b"], "left_semi").select("key").distinct(), "missed")
 
     @staticmethod
     def pairs_of_blocks(rows: DataFrame) -> DataFrame:
@@ -384,13 +395,15 @@ class Finder:
     def run(self) -> DataFrame:
         """doc_id, text_key, n_shingles, root for each row: the rows of a component share their root, which is null without words."""
         classes = self.buckets()
-        told = self.verified(self.within(classes))
+        told, missed = self.looked_at(self.within(classes))
         refused, linked, tries = told.where("NOT ok"), components(told.where("ok")), 1
-        while (close := self.across(classes, linked, refused, tries)) is not None:
-            told = self.verified(close)
+        slots = self.slots(classes, linked, missed)
+        while (links := self.across(classes, slots, linked, refused, tries)) is not None:
+            told, missed = self.looked_at(links)
             if told.isEmpty():
                 break
             refused, linked, tries = refused.unionByName(told.where("NOT ok")), self.joined(linked, told.where("ok")), 4 * tries
+            slots = [self.save(rows.join(missed.hint("merge"), "key", "left_semi"), "slots") for rows in slots]
         thin = self.signed.select("doc_id", "text_key", "n_shingles", "set_key")
         roots = thin.join(linked.withColumnRenamed("node", "set_key").hint("merge"), "set_key", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "set_key").alias("root"))
         roots, _ = common.saved(roots, "roots")
