@@ -53,6 +53,8 @@ BLOCK, HEADS = 512, 4
 #: Blocks of members outside a bucket's largest component up to which they meet all its members in pairs of blocks: 16 rows a
 #: member at most.
 OUTSIDE = 8
+#: Forests that a block tells of when it is looked at again, and by how many times more each time after.
+TRIES = 16
 #: Counters by which members of sets are told to be rare or common where full sets are compared by their rarest members.
 SLOTS = 1 << 16
 #: Bits of an odd sketch: a power of two, at least so many for each member of the set and at least so many in all.
@@ -396,13 +398,13 @@ class Finder:
         """doc_id, text_key, n_shingles, root for each row: the rows of a component share their root, which is null without words."""
         classes = self.buckets()
         told, missed = self.looked_at(self.within(classes))
-        refused, linked, tries = told.where("NOT ok"), components(told.where("ok")), 1
+        refused, linked, tries = told.where("NOT ok"), components(told.where("ok")), TRIES
         slots = self.slots(classes, linked, missed)
         while (links := self.across(classes, slots, linked, refused, tries)) is not None:
             told, missed = self.looked_at(links)
             if told.isEmpty():
                 break
-            refused, linked, tries = refused.unionByName(told.where("NOT ok")), self.joined(linked, told.where("ok")), 4 * tries
+            refused, linked, tries = refused.unionByName(told.where("NOT ok")), self.joined(linked, told.where("ok")), TRIES * tries
             slots = [self.save(rows.join(missed.hint("merge"), "key", "left_semi"), "slots") for rows in slots]
         thin = self.signed.select("doc_id", "text_key", "n_shingles", "set_key")
         roots = thin.join(linked.withColumnRenamed("node", "set_key").hint("merge"), "set_key", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("component", "set_key").alias("root"))
