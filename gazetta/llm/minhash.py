@@ -352,11 +352,12 @@ class Finder:
     def pairs_of_blocks(rows: DataFrame) -> DataFrame:
         """Members of groups (key) that ask, a block of them for each block of all members; js, is: how many blocks."""
         part = lambda n: F.pmod(F.xxhash64("id", "key"), F.col(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        columns = ["key", "i", "j", "id", "n", "sketch", "comp", "refused", "asks"]
-        asking = rows.where("asks").withColumn("i", part("is")).withColumn("j", every("js")).select(columns)
-        asked = rows.withColumns({"j": part("js"), "asks": F.lit(False)}).withColumn("i", every("is")).select(columns)
-        return asking.unionByName(asked)
+        every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        at = lambda i, j, asks: F.struct(i.alias("i"), j.alias("j"), F.lit(asks).alias("asks"))
+        none = F.array().cast("array<struct<i:int,j:int,asks:boolean>>")
+        asking = F.when(F.col("asks"), F.transform(every("js"), lambda j: at(part("is"), j, True))).otherwise(none)
+        asked = F.transform(every("is"), lambda i: at(i, part("js"), False))
+        return rows.select("key", "id", "n", "sketch", "comp", "refused", F.inline(F.concat(asking, asked)))
 
     def rarest_members(self, wanted: DataFrame) -> DataFrame:
         """id, key (a member of the set), asks: the members by which similar sets of wanted classes (id) must meet."""
