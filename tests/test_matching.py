@@ -206,3 +206,18 @@ def test_counts_are_observed(spark, gazetteer, addresses, tmp_path):
     reports = []
     resolve_stream(stream, gazetteer, str(tmp_path / "streamed"), str(tmp_path / "state"), lambda number, m: reports.append(m)).awaitTermination()
     assert [(sum(m["rows"] for m in reports), sum(m["matched"] for m in reports))] == [(82, n)]
+
+
+def test_areas_that_are_spelled_alike_come_last(spark, monkeypatch):
+    """Wards of one name and level are one class: the dictionary and the matches don't grow with them, results do."""
+    monkeypatch.setattr(matching, "LOCAL_ROWS", 350)
+    rows = [(f"{i:05}", "ben nghe", ["phuong", "xa"][i % 2], "001", "1", "quan", "79", "ho chi minh", "thanh pho") for i in range(300)]
+    known = resolve.prepare(spark.createDataFrame(rows, GAZ))
+    a = spark.createDataFrame([(1, "p.ben nghe, q1, hcm"), (2, "ben nghe")], "idx long, addr string")
+    assert known.spellings.local
+    of = lambda m, i: [r for r in m.where("kind = 'ward'").collect() if r.idx == i]
+    classes, areas = matching.match_classes(a, known.spellings), matching.match_areas(a, known.spellings)
+    assert len(of(classes, 1)) == 2 and len(of(areas, 1)) == 300
+    assert {(r.code, r.start_idx) for r in of(areas, 1)} == {(f"{i:05}", 2 * (i % 2)) for i in range(300)}
+    assert rows_of(resolve.scores(a, known)) == rows_of(resolve.all_scores(areas, known))
+    assert [(r.idx, r.ward_code) for r in resolve.resolve(a, known).orderBy("idx").collect()] == [(1, "00000"), (2, "00000")]
