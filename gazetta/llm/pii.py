@@ -154,7 +154,7 @@ def disclosing_terms(docs: DataFrame, units: DataFrame, n_texts: int, disclosure
     once = docs.select("key", F.concat_ws(" ", words(F.col("text"))).alias("words")).dropDuplicates(["key"])
     n_t = once.select(F.explode(F.split("words", " ")).alias("term")).where(F.col("term").rlike(r"\p{L}")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     held = units.select("key", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term"))
-    held = held.join(n_t, "term", "left").withColumn("n_t", F.coalesce("n_t", F.lit(1)))
+    counted = held.join(n_t, "term", "left").withColumn("n_t", F.coalesce("n_t", F.lit(1)))
     # As n(e,t) <= n(e), the threshold can be reached up to this n(t) only; the margin is for rounding.
     most = F.pow(F.col("n_e").cast("double"), F.lit(disclosure)) * float(max(n_texts, 1)) ** (1 - disclosure) * (1 + 1e-9)
     content = lambda n_e: F.log2(F.lit(float(n_texts)) / n_e)
@@ -162,8 +162,10 @@ def disclosing_terms(docs: DataFrame, units: DataFrame, n_texts: int, disclosure
     # A term that stands in one text alone tells every entity of it (PMI = IC); and the entities that stand in one text alone
     # are told alike by its terms. So these don't meet: the former are flagged as they are, of the latter one is looked at.
     some = told.groupBy("key").agg(F.max("most").alias("most"))
-    alone = held.where("n_t = 1").join(some, "key").select("key", "term", F.lit(1.0).alias("share"))
-    several = held.where("n_t > 1").join(some, "key").where("n_t <= most").drop("most")
+    # Both are taken from one saved join, so that a text's terms are dealt once.
+    held, _ = common.saved(counted.join(some, "key").where("n_t <= most").drop("most"), "held")
+    alone = held.where("n_t = 1").select("key", "term", F.lit(1.0).alias("share"))
+    several = held.where("n_t > 1")
     first = told.where("n_e = 1").groupBy("key").agg(F.min("entity").alias("entity"), F.first("n_e").alias("n_e"), F.first("most").alias("most"))
     looked_at = told.where("n_e > 1").select("key", "entity", "n_e", "most").unionByName(first)
     pairs, _ = common.saved(looked_at.join(several, "key").where("n_t <= most").drop("most"), "pairs")
@@ -182,10 +184,14 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     some = F.size("spans") > 0
     shown, held = (F.when(some, f(F.col("text"), F.col("spans"))).alias(f.__name__) for f in (entities, terms))
     base, _ = common.saved(spotted.select("key", "doc_id", "spans", shown, held, *["text"] * keep_text), "spans")
-    units, _ = common.saved(base.where(some).select("key", "entities", "terms").dropDuplicates(["key"]), "personal")
-    flagged = disclosing_terms(rows.select(key, "text"), units, base.select("key").distinct().count(), disclosure)
-    added = units.select("key", F.inline("terms")).join(flagged, ["key", "term"])
+    # A number stands for the digest of a text wherever its terms are dealt: a quarter of the bytes, and they compress.
+    personal = base.where(some).select("key", "entities", "terms").dropDuplicates(["key"])
+    units, _ = common.saved(personal.withColumn("unit", F.monotonically_increasing_id()), "personal")
+    numbered = units.select(F.col("unit").alias("key"), "entities", "terms")
+    flagged = disclosing_terms(rows.select(key, "text"), numbered, base.select("key").distinct().count(), disclosure)
+    added = numbered.select("key", F.inline("terms")).join(flagged, ["key", "term"])
     added = added.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", F.lit(4).alias("k"), "end", "share"))).alias("added"))
+    added = units.select("key", "unit").join(added.withColumnRenamed("key", "unit"), "unit").drop("unit")
     none = F.array().cast("array<struct<start:int,k:int,end:int,share:double>>")
     columns = ["doc_id", "spans", F.coalesce("added", none).alias("added"), *["text"] * keep_text]
     return base.where(some).join(added, "key", "left").select(columns).unionByName(base.where(~some).withColumn("added", none).select(columns))
