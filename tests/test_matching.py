@@ -208,6 +208,22 @@ def test_counts_are_observed(spark, gazetteer, addresses, tmp_path):
     assert [(sum(m["rows"] for m in reports), sum(m["matched"] for m in reports))] == [(82, n)]
 
 
+def test_equal_addresses_are_matched_once(spark, gazetteer, monkeypatch):
+    """However many idx have the same addresses; those of one idx are scored together."""
+    known, kept, came = resolve.prepare(gazetteer), matching._kept, []
+    monkeypatch.setattr(matching, "_kept", lambda rows, *more: came.append(rows.count()) or kept(rows, *more))
+    texts = ["p.ben nghe, q1, hcm", "ben nghe", "quan 1", "hcm"]
+    rows = [(i, texts[i % 2]) for i in range(100)] + [(7, texts[0]), (200, texts[2]), (200, texts[3]), (201, None), (None, texts[2])]
+    a = spark.createDataFrame(rows, "idx long, addr string")
+    got = rows_of(matching.match_areas(a, known.spellings))
+    assert came == [5]  # four texts and null
+    assert got == rows_of(matching.spread(matching.match_classes(a, known.spellings), known.spellings))
+    came.clear()
+    # Units: three texts by themselves, the two of idx 7 and of idx 200, and none.
+    assert rows_of(resolve.scores(a, known)) == rows_of(resolve.all_scores(matching.match_areas(a, known.spellings), known))
+    assert came[0] == 3 + 2 + 2
+
+
 def test_areas_that_are_spelled_alike_come_last(spark, monkeypatch):
     """Wards of one name and level are one class: the dictionary and the matches don't grow with them, results do."""
     monkeypatch.setattr(matching, "LOCAL_ROWS", 350)
