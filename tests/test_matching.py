@@ -224,6 +224,15 @@ def test_equal_addresses_are_matched_once(spark, gazetteer, monkeypatch):
     assert came[0] == 3 + 2 + 2
 
 
+def test_few_bytes_make_many_tasks(spark, gazetteer):
+    """Texts of parts are matched by as many tasks as are asked for, however few bytes they are."""
+    a = spark.createDataFrame([(i, "p.ben nghe, q1, hcm") for i in range(400)], "idx long, addr string")
+    known = resolve.prepare(gazetteer).spellings
+    texts, _ = containment.combined(a, F.floor(F.col("idx") / 50))
+    assert matching.match_classes(texts, known).rdd.getNumPartitions() == 4
+    assert matching.match_areas(a, known).rdd.getNumPartitions() == 4
+
+
 def test_areas_that_are_spelled_alike_come_last(spark, monkeypatch):
     """Wards of one name and level are one class: the dictionary and the matches don't grow with them, results do."""
     monkeypatch.setattr(matching, "LOCAL_ROWS", 350)
