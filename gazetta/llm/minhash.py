@@ -333,12 +333,16 @@ class Finder:
             partners = both.join(ids.hint("merge"), "id", "left_semi").groupBy("id").agg(F.collect_set("of").alias("refused"))
             placed = classes.select("id", "n", "sketch").join(ids.hint("merge"), "id", "left_semi").join(linked.withColumnsRenamed({"node": "id", "component": "comp"}).hint("merge"), "id", "left")
             placed = self.save(placed.withColumn("comp", F.coalesce("comp", "id")).join(partners.hint("merge"), "id", "left"), "placed")
-            inside = rows.join(placed.select("id", "comp").hint("merge"), "id").groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.count_if("asks").alias("ask"), F.max(F.col("asks").isNull()).alias("bucket"))
+            # Classes are joined as one row each, with what they meet by as an array: no join's rows follow the sets' sizes.
+            each = rows.groupBy("id").agg(F.collect_list(F.struct("key", "asks")).alias("by"))
+            told = self.save(each.join(placed.select("id", "comp").hint("merge"), "id").select("id", "comp", F.inline("by")), "told")
+            inside = told.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.count_if("asks").alias("ask"), F.max(F.col("asks").isNull()).alias("bucket"))
             groups = inside.groupBy("key").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"), F.sum("ask").alias("ask"), F.max("bucket").alias("bucket"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
             # In a bucket those outside its largest component ask, in other groups those whose share says so.
             asking = F.when(F.col("bucket"), F.col("m") - F.col("top.c")).otherwise(F.col("ask"))
             groups = self.save(groups.select("key", F.col("top.comp").alias("top"), blocks(F.col("m")).alias("js"), blocks(asking).alias("is")).where(F.col("is") > 0), "groups")
-            met = rows.join(groups.hint("merge"), "key").join(placed.hint("merge"), "id").withColumn("asks", F.coalesce("asks", F.col("comp") != F.col("top")))
+            met = told.join(groups.hint("merge"), "key").select("id", F.struct("key", "js", "is", F.coalesce("asks", F.col("comp") != F.col("top")).alias("asks")).alias("by"))
+            met = met.groupBy("id").agg(F.collect_list("by").alias("by")).join(placed.hint("merge"), "id").select("id", "n", "sketch", "comp", "refused", F.inline("by"))
             found.append(self.pairs_of_blocks(met).groupBy("key", "i", "j").applyInArrow(_links(self.percent, tries), LINKS))
         return reduce(DataFrame.unionByName, found) if found else None
 
