@@ -186,6 +186,15 @@ def test_accents_of_every_character(spark):
     assert [r.c for r in rows] == [text._unaccented(joined), text._unaccented("한국 ½ ﬁ Đắk Lắk"), None, ""]
 
 
+def test_only_characters_that_change_are_decomposed(monkeypatch):
+    """The table of accents is made before every first query: most characters stay as they are and are left out."""
+    of, came = text._unaccented, []
+    monkeypatch.setattr(text, "_unaccented", lambda s: came.append(s) or of(s))
+    made = text._table.__wrapped__()
+    assert len(came) < 10_000 and {"đ", "Đ", "é", "\u0301", "ﬁ"} <= set(came)
+    assert made == text._table() and made.to[made.single.index("đ")] == "d"
+
+
 def test_names_are_checked(spark, gazetteer):
     wrong = gazetteer.limit(1).withColumn("ward", F.lit("ben  nghe"))
     with pytest.raises(Exception, match="empty word"):
