@@ -255,3 +255,30 @@ def test_areas_that_are_spelled_alike_come_last(spark, monkeypatch):
     assert {(r.code, r.start_idx) for r in of(areas, 1)} == {(f"{i:05}", 2 * (i % 2)) for i in range(300)}
     assert rows_of(resolve.scores(a, known)) == rows_of(resolve.all_scores(areas, known))
     assert [(r.idx, r.ward_code) for r in resolve.resolve(a, known).orderBy("idx").collect()] == [(1, "00000"), (2, "00000")]
+
+
+def test_scores_are_spread_by_blocks(spark, monkeypatch):
+    """However many wards a score is of, few rows are made of one row of a join; all of them are told, and once."""
+    monkeypatch.setattr(scoring, "BLOCK", 7)
+    rows = [(f"{i:05}", ["ben nghe", "da kao"][i % 2], "phuong", f"{i % 3:03}", ["1", "ba dinh", "2"][i % 3], "quan", "79", "ho chi minh", "thanh pho") for i in range(100)]
+    known = resolve.prepare(spark.createDataFrame([*rows, *rows[:5]], GAZ))
+    for classes in (False, True):
+        of = {}
+        for r in scoring.members(known.gazetteer, [scoring.STRATEGIES[4]], classes).collect():
+            of.setdefault(bytes(r.of), []).append([m.ward_code for m in r.block])
+        (blocks,) = of.values()
+        assert sorted(map(len, blocks)) == [2] + [7] * 14 and sorted(sum(blocks, [])) == [r[0] for r in rows]
+    a = spark.createDataFrame([(1, "p.ben nghe, q1, hcm"), (2, "hcm, hcm"), (3, "ba dinh")], "idx long, addr string")
+    got = resolve.scores(a, known)
+    assert rows_of(got) == rows_of(resolve.all_scores(matching.match_areas(a, known.spellings), known))
+    by = {(r.idx, r.strategy): (r["count"], r.codes) for r in got.groupBy("idx", "strategy").agg(F.count("*").alias("count"), F.count_distinct("ward_code").alias("codes")).collect()}
+    assert by[1, 4] == (100, 100) and by[2, 4] == (200, 100) and by[3, 5] == (33, 33) and by[1, 6] == (50, 50)
+
+
+def test_only_what_is_scored_is_matched(spark, gazetteer, addresses, monkeypatch):
+    known, match, found = resolve.prepare(gazetteer), matching.match_units, []
+    monkeypatch.setattr(matching, "match_units", lambda *a: found.append(match(*a)) or found[-1])
+    every = resolve.scores(addresses, known)
+    for i, s in enumerate(scoring.STRATEGIES):
+        assert rows_of(resolve.scores(addresses, known, [s])) == rows_of(every.where(F.col("strategy") == i))
+        assert {r.kind for r in found[-1].select("kind").distinct().collect()} == set(s.areas)
